@@ -20,8 +20,21 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.coalesce(F.try_divide(numerator.cast("double"), denominator.cast("double")), F.lit(0.0))
 
 
+def round_to(value: Column | str, digits: int) -> Column:
+    """Round half away from zero on the scaled binary value.
+
+    ``F.round`` rounds the shortest decimal text of a double, which moves values
+    like 0.66475 (stored just below) up; scaling first rounds what is stored, and
+    stays numeric inside codegen.
+    """
+    number = (F.col(value) if isinstance(value, str) else value).cast("double")
+    scaled = F.abs(number) * (10.0 ** digits)
+    rounded = F.signum(number) * F.floor(scaled + 0.5) / (10.0 ** digits) + 0.0
+    return F.when(scaled < 2.0 ** 52, rounded).otherwise(number)
+
+
 def percent(part: Column, whole: Column, digits: int) -> Column:
-    return F.round(ratio(part, whole) * 100, digits)
+    return round_to(ratio(part, whole) * 100, digits)
 
 
 def finite_or_null(value: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowsieve.functions.scalars import round_to
+
 _ATTACK = "prediction = 'Attack'"
 
 
@@ -55,7 +57,7 @@ def histogram(events: DataFrame, column: str, bins: int, by: str = "prediction",
     index = F.least(F.floor((F.col(column) - low) * bins / (high - low)), F.lit(bins - 1)).cast("int")
     inside = events.filter(F.col(column).between(low, high))
     counts = inside.groupBy(by, index.alias("bin")).agg(F.count("*").alias("n_events"))
-    return counts.withColumn("bin_start", F.round(F.col("bin") * width + low, 6))
+    return counts.withColumn("bin_start", round_to(F.col("bin") * width + low, 6))
 
 
 def top_actions(events: DataFrame, k: int = 8, width: int = 55) -> DataFrame:

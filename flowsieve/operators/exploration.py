@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowsieve.functions.scalars import long_form, missing, percent
+from flowsieve.functions.scalars import long_form, missing, percent, round_to
 from flowsieve.functions.scale import tagged_counts
 from flowsieve.operators.quantiles import exact_quantiles
 from flowsieve.schemas import RARE_CATEGORIES
@@ -93,7 +93,7 @@ def rare_classes(
     rows = target_compare(train, test, column)
     share = F.try_divide(F.col("train_count") * 100.0, rows.agg(F.sum("train_count").cast("double")).scalar())
     tagged = rows.withColumns({
-        "ratio_train_to_test": F.round(F.try_divide(F.col("train_count").cast("double"), F.col("test_count").cast("double")), 2),
+        "ratio_train_to_test": round_to(F.try_divide(F.col("train_count").cast("double"), F.col("test_count").cast("double")), 2),
         "priority": F.when(share < below_pct, "Rare").otherwise("Standard"),
     })
     return tagged if names is None else tagged.filter(F.col(column).isin(*names))
@@ -116,10 +116,10 @@ def variance_profile(df: DataFrame, columns: Sequence[str], k: int = 8, near_zer
     """Lowest and highest sample variances, with near-zero ones flagged."""
     rows = variances(df, columns)
     low = rows.orderBy("variance", "feature").limit(k).select(
-        F.lit("lowest").alias("side"), "feature", F.round("variance", 6).alias("variance"),
+        F.lit("lowest").alias("side"), "feature", round_to("variance", 6).alias("variance"),
         (F.col("variance") < near_zero).alias("near_zero"))
     high = rows.orderBy(F.desc("variance"), "feature").limit(k).select(
-        F.lit("highest").alias("side"), "feature", F.round("variance", 2).alias("variance"),
+        F.lit("highest").alias("side"), "feature", round_to("variance", 2).alias("variance"),
         (F.col("variance") < near_zero).alias("near_zero"))
     return low.unionByName(high)
 
@@ -178,13 +178,13 @@ def _pair_pass(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[str,
 def corr_pairs(df: DataFrame, columns: Sequence[str], threshold: float = 0.90) -> DataFrame:
     """Pairs with absolute correlation at or above the threshold, strongest first."""
     strong = correlations(df, columns).filter(F.abs("r") >= threshold)
-    shown = strong.select("feature_1", "feature_2", F.round("r", 4).alias("correlation"))
+    shown = strong.select("feature_1", "feature_2", round_to("r", 4).alias("correlation"))
     return shown.orderBy(F.desc(F.abs("correlation")), "feature_1", "feature_2")
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str], digits: int = 4) -> DataFrame:
     """The full matrix in long form; both triangles come from the same pass."""
-    upper = correlations(df, columns).select("feature_1", "feature_2", F.round("r", digits).alias("correlation"))
+    upper = correlations(df, columns).select("feature_1", "feature_2", round_to("r", digits).alias("correlation"))
     lower = F.struct(F.col("feature_2").alias("feature_1"), F.col("feature_1").alias("feature_2"), "correlation")
     same = F.struct("feature_1", "feature_2", "correlation")
     diagonal = variances(df, columns, population=True).select(

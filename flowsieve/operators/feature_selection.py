@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowsieve.functions.scalars import literal_array, missing
+from flowsieve.functions.scalars import literal_array, missing, round_to
 from flowsieve.operators.exploration import correlations, variances
 from flowsieve.operators.quantiles import exact_quantiles
 
@@ -90,6 +90,6 @@ def select_features(
     if k is None or not apart:
         return Selection(varied, apart, apart)
     ranked = mutual_information(train, apart, label, bins).orderBy(
-        F.desc(F.round("mutual_information", 9)), "feature").limit(min(k, len(apart)))
+        F.desc(round_to("mutual_information", 9)), "feature").limit(min(k, len(apart)))
     best = {r["feature"] for r in ranked.collect()}
     return Selection(varied, apart, [c for c in apart if c in best])

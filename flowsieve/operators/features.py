@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowsieve.functions.scalars import class_index, missing, numeric_columns, string_columns
+from flowsieve.functions.scalars import class_index, missing, numeric_columns, round_to, string_columns
 from flowsieve.functions.scale import broadcast_if_small
 from flowsieve.operators.quantiles import approximate_median, exact_median
 from flowsieve.schemas import NON_FEATURES
@@ -120,7 +120,7 @@ def pos_weight(df: DataFrame, label: str = "label") -> DataFrame:
     """Negatives per positive, 1.0 without positives."""
     neg, pos = F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1)
     share = F.coalesce(F.try_divide(neg.cast("double"), pos.cast("double")), F.lit(1.0))
-    return df.agg(neg.alias("n_negative"), pos.alias("n_positive"), F.round(share, 5).alias("pos_weight"))
+    return df.agg(neg.alias("n_negative"), pos.alias("n_positive"), round_to(share, 5).alias("pos_weight"))
 
 
 # ---- the whole feature pipeline --------------------------------------------

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowsieve.functions.scalars import argmax, class_name, literal_array, ratio
+from flowsieve.functions.scalars import argmax, class_name, literal_array, ratio, round_to
 from flowsieve.functions.scale import running_totals
 from flowsieve.schemas import DEFAULT_THRESHOLD, OPERATIONAL_THRESHOLD, THRESHOLDS
 
@@ -45,7 +45,7 @@ def binary_rates(digits: int = 4) -> dict[str, Column]:
         "balanced_accuracy": (recall + specificity) / 2,
         "accuracy": ratio(tp + tn, tn + fp + fn + tp),
     }
-    return {name: F.round(value, digits) for name, value in raw.items()}
+    return {name: round_to(value, digits) for name, value in raw.items()}
 
 
 def threshold_counts(
@@ -94,7 +94,7 @@ def threshold_sweep(
     near = lambda value: F.abs(F.col("threshold") - F.lit(float(value))) < 1e-5
     return counts.select(
         *by,
-        F.round("threshold", 2).alias("threshold"),
+        round_to("threshold", 2).alias("threshold"),
         *[c.alias(n) for n, c in binary_rates().items()],
         F.col("fp").alias("number_of_false_positives"),
         F.col("fn").alias("number_of_false_negatives"),
@@ -116,14 +116,14 @@ def threshold_impact(
         return F.max(F.when(F.abs(F.col("threshold") - F.lit(float(mark))) < 1e-5, F.col(name)))
 
     def gain(name: str) -> Column:
-        return F.round(at(chosen, name) - at(default, name), 4)
+        return round_to(at(chosen, name) - at(default, name), 4)
 
     fp = "number_of_false_positives"
     saved = at(default, fp) - at(chosen, fp)
     return sweep.agg(
         saved.alias("false_positive_reduction_count"),
-        F.round(ratio(saved, at(default, fp)) * 100, 2).alias("false_positive_reduction_percent"),
-        F.round(at(default, "false_positive_rate") - at(chosen, "false_positive_rate"), 4).alias("fpr_reduction"),
+        round_to(ratio(saved, at(default, fp)) * 100, 2).alias("false_positive_reduction_percent"),
+        round_to(at(default, "false_positive_rate") - at(chosen, "false_positive_rate"), 4).alias("fpr_reduction"),
         gain("recall").alias("recall_delta"),
         gain("precision").alias("precision_gain"),
         gain("f1_score").alias("f1_gain"),
@@ -171,7 +171,7 @@ def roc_curve(scores: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
         F.try_divide(F.col("cum_neg").cast("double"), totals.select("n").scalar().cast("double")).alias("fpr"),
         F.try_divide(F.col("cum_pos").cast("double"), totals.select("p").scalar().cast("double")).alias("tpr"),
     )
-    origin = points.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], points.schema)
+    origin = points.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold double, fpr double, tpr double")
     return points.unionByName(origin)
 
 
@@ -185,7 +185,7 @@ def pr_curve(scores: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
         ratio(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
         F.try_divide(F.col("cum_pos").cast("double"), positives).alias("recall"),
     )
-    anchor = points.sparkSession.createDataFrame([(None, 1.0, 0.0)], points.schema)
+    anchor = points.sparkSession.createDataFrame([(None, 1.0, 0.0)], "threshold double, precision double, recall double")
     return points.unionByName(anchor).withColumn("baseline", F.try_divide(positives, rows))
 
 
@@ -196,11 +196,11 @@ def with_prediction(scores: DataFrame, probs: str = "probs", name: str = "yhat")
     return scores.withColumn(name, argmax(F.col(probs)))
 
 
-def _class_grid(df: DataFrame, classes: Sequence[str], *names: str) -> DataFrame:
-    grid = df.sparkSession.range(1).drop("id")
+def _class_grid(base: DataFrame, classes: Sequence[str], *names: str) -> DataFrame:
+    """Every combination of class indexes under each row of a small base frame."""
     for name in names:
-        grid = grid.select("*", F.explode(literal_array(range(len(classes)))).alias(name))
-    return grid
+        base = base.select("*", F.explode(literal_array(range(len(classes)))).alias(name))
+    return base
 
 
 def confusion_multi(
@@ -210,15 +210,8 @@ def confusion_multi(
     counts = scores.groupBy(*by, F.col(y).cast("int").alias("y"), F.col(yhat).cast("int").alias("yhat")).agg(
         F.count("*").alias("n_rows")
     )
-    if by:
-        cells = F.array_sort(F.flatten(F.array(*[
-            F.transform(literal_array(range(len(classes))), lambda j, i=i: F.struct(F.lit(i).alias("y"), j.alias("yhat")))
-            for i in range(len(classes))
-        ])))
-        grid = counts.select(*by).distinct().select(*by, F.inline(cells))
-    else:
-        grid = _class_grid(scores, classes, "y", "yhat")
-    return grid.join(counts, [*by, "y", "yhat"], "left").select(
+    base = counts.select(*by).distinct() if by else scores.sparkSession.range(1).drop("id")
+    return _class_grid(base, classes, "y", "yhat").join(counts, [*by, "y", "yhat"], "left").select(
         *by, "y", "yhat", F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows")
     )
 
@@ -239,7 +232,7 @@ def per_class_metrics(
     precision = ratio(F.col("tp"), F.col("predicted"))
     recall = ratio(F.col("tp"), F.col("support"))
     f1 = ratio(2 * F.col("tp"), F.col("support") + F.col("predicted"))
-    shown = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
+    shown = (lambda c: round_to(c, digits)) if digits is not None else (lambda c: c)
     return sums.select(
         *by, "cls", class_name(F.col("cls"), classes).alias("class_name"),
         shown(precision).alias("precision"), shown(recall).alias("recall"), shown(f1).alias("f1"),
@@ -269,7 +262,7 @@ def multi_metrics(
         out.append(F.coalesce(F.avg(F.when(counted, F.col(name))), F.lit(0.0)).alias(f"macro_{name}"))
         out.append(ratio(F.sum(F.col("support") * F.col(name)), support).alias(f"weighted_{name}"))
     summed = rows.groupBy(*by).agg(*out)
-    return summed.select(*by, *[F.round(c, digits).alias(c) for c in summed.columns if c not in by])
+    return summed.select(*by, *[round_to(c, digits).alias(c) for c in summed.columns if c not in by])
 
 
 def accuracy(scores: DataFrame, y: str = "y", yhat: str = "yhat", by: Sequence[str] = ()) -> DataFrame:
@@ -320,7 +313,7 @@ def classification_report(
     averages = summary.select(F.inline(F.array(
         row("accuracy", "acc"), row("macro avg", "m"), row("weighted avg", "w"))))
     report = rows.select(F.col("class_name").alias("row"), "precision", "recall", "f1", "support").unionByName(averages)
-    return report.select("row", *[F.round(c, digits).alias(c) for c in ("precision", "recall", "f1")], "support")
+    return report.select("row", *[round_to(c, digits).alias(c) for c in ("precision", "recall", "f1")], "support")
 
 
 def binary_report(scores: DataFrame, threshold: float = DEFAULT_THRESHOLD, y: str = "y", p: str = "p") -> DataFrame:
@@ -335,7 +328,7 @@ def compare_binary(
     """One comparison row per model (and split): counts, rates and ranking areas."""
     points = binary_metrics(scores, threshold, y, p, by)
     areas = ranking_areas(scores, y, p, by).select(
-        *by, F.round("roc_auc", 4).alias("roc_auc"), F.round("average_precision", 4).alias("pr_auc")
+        *by, round_to("roc_auc", 4).alias("roc_auc"), round_to("average_precision", 4).alias("pr_auc")
     )
     return points.drop("threshold").join(areas, list(by))
 
@@ -350,6 +343,6 @@ def compare_multi(
     areas = ovr_auc(scores, classes, y, probs, by)
     losses = log_loss(scores, y, probs, by)
     return rates.join(areas, list(by)).join(losses, list(by)).select(
-        *rates.columns, F.round("roc_auc_ovr_macro", 4).alias("roc_auc_ovr_macro"),
-        F.round("log_loss", 4).alias("log_loss"),
+        *rates.columns, round_to("roc_auc_ovr_macro", 4).alias("roc_auc_ovr_macro"),
+        round_to("log_loss", 4).alias("log_loss"),
     )

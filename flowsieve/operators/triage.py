@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowsieve import MODEL_VERSION
-from flowsieve.functions.scalars import argmax, class_name, lookup, mask_index
+from flowsieve.functions.scalars import argmax, class_name, lookup, mask_index, round_to
 from flowsieve.operators.metrics import flagged
 from flowsieve.schemas import (
     ACTIONS, CATEGORIES, DEFAULT_ACTION, DEFAULT_SEVERITY, NORMAL, OPERATIONAL_THRESHOLD, SEVERITY,
@@ -38,13 +38,13 @@ def triage(
     best = F.when(attack, argmax(masked))
     staged = scored.withColumns({"_attack": attack, "_best": best})
     kind = F.when(F.col("_attack"), class_name(F.col("_best"), classes)).otherwise(normal)
-    stage_two = F.when(F.col("_attack"), F.round(F.try_element_at(F.col(probs), F.col("_best") + 1), 4))
-    stage_one = F.round(F.when(F.col("_attack"), F.col(p)).otherwise(1.0 - F.col(p)), 4)
+    stage_two = F.when(F.col("_attack"), round_to(F.try_element_at(F.col(probs), F.col("_best") + 1), 4))
+    stage_one = round_to(F.when(F.col("_attack"), F.col(p)).otherwise(1.0 - F.col(p)), 4)
     return staged.withColumns({
         "prediction": F.when(F.col("_attack"), "Attack").otherwise("Normal"),
         "attack_type": kind,
-        "binary_probability": F.round(F.col(p), 4),
-        "binary_threshold": F.round(mark, 2),
+        "binary_probability": round_to(F.col(p), 4),
+        "binary_threshold": round_to(mark, 2),
         "binary_confidence": stage_one,
         "multiclass_probability": stage_two,
         "confidence": F.when(F.col("_attack"), stage_two).otherwise(stage_one),
@@ -107,7 +107,7 @@ def harmonize(events: DataFrame, threshold: float = OPERATIONAL_THRESHOLD) -> Da
         "attack_category": F.coalesce(c("attack_category"), F.when(attack, c("attack_type"))),
         "binary_confidence": F.coalesce(
             c("binary_confidence"),
-            F.when(attack, c("binary_probability")).otherwise(F.round(1.0 - c("binary_probability"), 4))),
+            F.when(attack, c("binary_probability")).otherwise(round_to(1.0 - c("binary_probability"), 4))),
         "multi_confidence": F.coalesce(c("multi_confidence"), c("multiclass_probability")),
     })
     full = full.withColumns({
@@ -120,7 +120,7 @@ def harmonize(events: DataFrame, threshold: float = OPERATIONAL_THRESHOLD) -> Da
             c("recommended_action"), lookup(ACTIONS, c("attack_type"), ACTIONS[NORMAL])),
     })
     rounded = ["binary_probability", "binary_confidence", "multiclass_probability", "multi_confidence", "confidence"]
-    return full.withColumns({n: F.round(c(n), 4) for n in rounded})
+    return full.withColumns({n: round_to(c(n), 4) for n in rounded})
 
 
 def alert_rows(events: DataFrame, src_ip: str = "srcip", dst_ip: str = "dstip") -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowsieve.functions.scalars import round_to
 from flowsieve.schemas import CATEGORICAL_FEATURES, FORBIDDEN_FIELDS, NUMERIC_FEATURES, OUTPUT_FIELDS
 
 REASONS = "reject_reasons"
@@ -69,7 +70,7 @@ def validate_domain(
 
 def validate_probabilities(df: DataFrame, columns: Sequence[str], digits: int = 4) -> DataFrame:
     """Round probability columns, then flag values outside [0, 1]."""
-    rounded = df.withColumns({c: F.round(F.col(c), digits) for c in columns})
+    rounded = df.withColumns({c: round_to(F.col(c), digits) for c in columns})
     return rounded.withColumn(REASONS, reasons({f"range:{c}": ~F.col(c).between(0.0, 1.0) for c in columns}))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowsieve.functions.scalars import class_name
+from flowsieve.functions.scalars import class_name, round_to
 from flowsieve.operators import (
     alerts as al, cleaning, exploration as ex, profiling as pr, sampling as sa, triage as tr, validation as va,
 )
@@ -59,7 +59,7 @@ FROM alerts""", "alerts"))
 def _upsert_latest(spark, sf):
     events, path = alerts(spark, sf), scratch_path(spark, "keyed")
     changed = events.filter("record_index % 3 = 0").withColumns(
-        {"confidence": F.round(1 - F.col("confidence"), 4), "model_version": F.lit("1.0.1")})
+        {"confidence": round_to(1 - F.col("confidence"), 4), "model_version": F.lit("1.0.1")})
     writers.upsert_events(events, path, 0)
     writers.upsert_events(changed, path, 1)
     return writers.read_events(spark, path).select("event_id", "confidence", "model_version", "record_index")
@@ -121,7 +121,7 @@ def _downcast(spark, sf):
     from flowsieve.operators.features import downcast
 
     narrow = downcast(flows(spark, sf).select("id", "sbytes", "p"), ["sbytes", "p"])
-    return narrow.select("id", F.round(F.col("sbytes").cast("double"), 4).alias("sbytes"), F.round(F.col("p").cast("double"), 6).alias("p"))
+    return narrow.select("id", round_to(F.col("sbytes").cast("double"), 4).alias("sbytes"), round_to(F.col("p").cast("double"), 6).alias("p"))
 
 
 @query("schema_diff")
@@ -432,13 +432,13 @@ def _category_profile(spark, sf):
 
 
 @query("variance_profile", sql("""
-SELECT side, feature, variance, near_zero FROM (
+SELECT side, feature, round(sqrt(variance), 4) AS deviation, near_zero FROM (
  (SELECT 'lowest' AS side, feature, round(v, 6) AS variance, v < 0.0001 AS near_zero FROM k ORDER BY v, feature LIMIT 4) UNION ALL
  (SELECT 'highest', feature, round(v, 2), v < 0.0001 FROM k ORDER BY v DESC, feature LIMIT 4))""", "train",
     k=" UNION ALL ".join(f"SELECT '{c}' AS feature, var_samp({c}) AS v FROM train" for c in NUMERIC)))
 def _variance_profile(spark, sf):
     out = ex.variance_profile(splits(spark, sf)[0], NUMERIC, k=4)
-    return out
+    return out.select("side", "feature", round_to(F.sqrt("variance"), 4).alias("deviation"), "near_zero")
 
 
 @query("numeric_describe", sql(" UNION ALL ".join(
@@ -448,7 +448,7 @@ def _variance_profile(spark, sf):
 def _numeric_describe(spark, sf):
     clean = cleaning.clean_infinities(flows_dirty(spark, sf))
     out = ex.numeric_describe(clean, ["spkts", "sbytes", "rate", "dur"])
-    return out.select("feature", "n_rows", "min", "max", *[F.round(c, 4).alias(c) for c in ("mean", "std", "q25", "q50", "q75")])
+    return out.select("feature", "n_rows", "min", "max", *[round_to(c, 4).alias(c) for c in ("mean", "std", "q25", "q50", "q75")])
 
 
 @query("rare_classes", sql("""
@@ -563,7 +563,7 @@ def _subset_check(spark, sf):
 
 @query("alert_summary", sql("SELECT total, normal, attacks, critical, round(avg_confidence, 6) AS avg_confidence, risk_level FROM s", "alerts", s=_SUMMARY))
 def _alert_summary(spark, sf):
-    return al.alert_summary(alerts(spark, sf)).withColumn("avg_confidence", F.round("avg_confidence", 6))
+    return al.alert_summary(alerts(spark, sf)).withColumn("avg_confidence", round_to("avg_confidence", 6))
 
 
 @query("alerts_by_severity", sql("SELECT severity, count(*) AS n_events FROM alerts GROUP BY severity", "alerts"))

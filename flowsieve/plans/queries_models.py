@@ -1 +1,136 @@
-""
+"""Registered queries that train models. Small forests keep them quick; every row of the tables is used."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from flowsieve.functions.scalars import round_to
+from flowsieve.functions.scale import materialize
+from flowsieve.operators import explain as ex, metrics as me, models as mo
+from flowsieve.plans import pipelines as pl
+from flowsieve.plans.catalog import query
+from flowsieve.plans.views import CATEGORICAL, CLASSES, NUMERIC, flows, splits, sql
+from flowsieve.schemas import FORBIDDEN_FIELDS
+from flowsieve.session import scratch_path
+from flowsieve.sources.readers import with_record_index
+
+_LR = {"maxIter": 25}
+_RF = {"numTrees": 8, "maxDepth": 6}
+_GBT = {"maxIter": 4, "maxDepth": 4}
+_PARAMS = {"logistic_regression": _LR, "random_forest": _RF, "boosted_trees": _GBT}
+
+
+def _prepared(spark, sf):
+    """Features of both splits, fixed once because every fit reads them again."""
+    train, test = splits(spark, sf)
+    fitted, ready_train, ready_test = pl.build_features(train, test, CLASSES, numeric=NUMERIC, categorical=CATEGORICAL)
+    kept = ["id", *NUMERIC, *CATEGORICAL, "label", "attack_cat", "y", "f_raw", "f_scaled"]
+    return fitted, materialize(ready_train.select(*kept)), materialize(ready_test.select(*kept))
+
+
+def _binary(fit):
+    def run(spark, sf):
+        _, train, test = _prepared(spark, sf)
+        return me.binary_metrics(fit(train).score_binary(test), y="label")
+
+    return run
+
+
+def _multi(fit):
+    def run(spark, sf):
+        _, train, test = _prepared(spark, sf)
+        return me.multi_metrics(me.with_prediction(fit(train).score_multi(test)), CLASSES)
+
+    return run
+
+
+query("train_lr")(_binary(lambda t: mo.train_logistic(t, params=_LR)))
+query("train_rf")(_binary(lambda t: mo.train_forest(t, params=_RF)))
+query("train_gbt")(_binary(lambda t: mo.train_boosted(t, params=_GBT)))
+query("train_multi_lr")(_multi(lambda t: mo.train_logistic(t, "y", multinomial=True, params=_LR)))
+query("train_multi_rf")(_multi(lambda t: mo.train_forest(t, "y", multiclass=True, params=_RF)))
+query("train_multi_gbt")(_multi(lambda t: mo.train_multi_boosted(t, "y", len(CLASSES), params={"maxIter": 2, "maxDepth": 3})))
+
+
+@query("train_suite")
+def _train_suite(spark, sf):
+    """Three binary models compared on the test split, best one marked."""
+    _, train, test = _prepared(spark, sf)
+    suite = mo.train_binary_suite(train, params=_PARAMS)
+    rows = pl.evaluate_binary_suite(suite, test, "test")
+    return rows.join(mo.suite_metadata(spark, suite, train.count()).select("model", "parameters", "seed"), "model")
+
+
+@query("train_multi_suite")
+def _train_multi_suite(spark, sf):
+    _, train, test = _prepared(spark, sf)
+    suite = mo.train_multi_suite(train, "y", len(CLASSES), _PARAMS, ["logistic_regression", "random_forest"])
+    return pl.evaluate_multi_suite(suite, test, CLASSES, "test")
+
+
+@query("attack_only_eval")
+def _attack_only_eval(spark, sf):
+    _, train, test = _prepared(spark, sf)
+    return pl.attack_only_experiment(train, test, CLASSES, params=_PARAMS, kinds=["logistic_regression", "random_forest"])
+
+
+@query("threshold_selection_run")
+def _threshold_selection_run(spark, sf):
+    """Split, fit, choose on validation, refit, report on test."""
+    _, train, test = _prepared(spark, sf)
+    return pl.select_threshold_safely(train, lambda: test, params=_GBT).report
+
+
+@query("perm_importance")
+def _perm_importance(spark, sf):
+    fitted, train, test = _prepared(spark, sf)
+    model = mo.train_boosted(train, params=_GBT)
+    rows = test.select("id", *NUMERIC, *CATEGORICAL, "label")
+    return ex.permutation_importance(
+        rows, ["spkts", "dbytes", "state"], ["id"], "label", lambda d: model.score_binary(fitted.transform(d)), repeats=2)
+
+
+@query("detect")
+def _detect(spark, sf):
+    """Trained two-stage detector over the test split."""
+    fitted, train, _ = _prepared(spark, sf)
+    detector = pl.Detector(fitted, mo.train_boosted(train, params=_GBT), mo.train_forest(train, "y", multiclass=True, params=_RF), CLASSES)
+    events = detector.detect(with_record_index(splits(spark, sf)[1], ["id"]), "run", ["id"])
+    assert not set(events.columns) & set(FORBIDDEN_FIELDS)
+    return events.groupBy("prediction", "severity").agg(F.count("*").alias("n_events"))
+
+
+@query("saved_model_scores", sql("SELECT count(*) AS n_rows, count(*) AS n_equal FROM test", "test"))
+def _saved_model_scores(spark, sf):
+    """A reloaded model and feature pipeline score every test row as the originals do."""
+    fitted, train, _ = _prepared(spark, sf)
+    model = mo.train_forest(train, params=_RF)
+    path = scratch_path(spark, "model")
+    mo.save_model(model, f"{path}/forest")
+    fitted.model.write().overwrite().save(f"{path}/features")
+    again = mo.TrainedModel("random_forest", mo.load_model("random_forest", f"{path}/forest"), "f_raw", 0.0)
+    test = splits(spark, sf)[1]
+    before = model.score_binary(fitted.transform(test)).select("id", F.col("p").alias("a"))
+    after = again.score_binary(mo.load_model("pipeline", f"{path}/features").transform(test)).select("id", F.col("p").alias("b"))
+    return before.join(after, "id").agg(
+        F.count("*").alias("n_rows"), F.count_if(F.abs(F.col("a") - F.col("b")) < 1e-12).alias("n_equal"))
+
+
+@query("evaluate_one", sql("SELECT count(*) AS total_samples FROM flows WHERE split = 'test'", "flows"))
+def _evaluate_one(spark, sf):
+    """One model at a non-default threshold; counts cover the split."""
+    _, train, test = _prepared(spark, sf)
+    rows = pl.evaluate_one(mo.train_logistic(train, params=_LR), test, threshold=0.7)
+    return rows.select((F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("total_samples"))
+
+
+@query("explain_linear", sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(avg(abs({w} * ({c} - (SELECT avg({c}) FROM train)))), 4) AS importance FROM flows"
+    for c, w in (("spkts", 0.5), ("sttl", 0.25))), "train"))
+def _explain_linear(spark, sf):
+    from flowsieve.operators.features import moments
+
+    weights = {"spkts": 0.5, "sttl": 0.25}
+    means = {c: m for c, (m, _) in moments(splits(spark, sf)[0], list(weights)).items()}
+    out = ex.explain(flows(spark, sf), list(weights), ["id"], "label", coefficients=weights, means=means)
+    return out.select("feature", round_to("importance", 4).alias("importance"))

@@ -1 +1,97 @@
-""
+"""Registered queries that run as Structured Streaming, drained and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from flowsieve.functions.scalars import round_to
+from flowsieve.operators import validation as va
+from flowsieve.plans.catalog import query
+from flowsieve.plans.queries_data import _SUMMARY, _TEXT, _text_rows
+from flowsieve.plans.queries_metrics import _triage_sql
+from flowsieve.plans.views import FEATURES, alerts_of, probs, sql, table
+from flowsieve.session import scratch_path
+from flowsieve.sources.readers import with_record_index
+from flowsieve.sources.writers import read_events
+from flowsieve.streaming import replay as st
+
+
+def _staged(spark, df, label, files=3):
+    path = scratch_path(spark, label)
+    st.stage(df, path, files)
+    return st.read_stream(spark, path, df.schema, files_per_batch=1)
+
+
+def _events_stream(spark, sf):
+    return alerts_of(_staged(spark, table(spark, sf, "events"), "events"))
+
+
+def _replay(spark, sf):
+    records = with_record_index(probs(spark, sf), ["id"])
+    stream = _staged(spark, records, "replay")
+    return st.replay(stream, lambda rows: rows, "run-1", [*FEATURES, "p", "probs"], keys=["id"])
+
+
+_REPLAYED = """
+SELECT sha256('run-1|' || id) AS event_id, row_number() OVER (ORDER BY id) - 1 AS record_index, prediction, attack_type,
+       binary_probability, binary_threshold, binary_confidence, multiclass_probability, confidence, severity, recommended_action
+FROM events0"""
+
+
+@query("replay_stream", sql(_REPLAYED, "probs", **_triage_sql(0.8)))
+def _replay_stream(spark, sf):
+    path = scratch_path(spark, "alerts")
+    st.drain(st.start(_replay(spark, sf), "table", path, f"{path}-checkpoint"))
+    return read_events(spark, path).drop("timestamp", "model_version")
+
+
+@query("replay_sink", sql("""
+SELECT fmt, prediction, severity, count(*) AS n_events FROM events0, (SELECT unnest(['jsonl', 'csv']) AS fmt)
+GROUP BY fmt, prediction, severity""", "probs", **_triage_sql(0.8)))
+def _replay_sink(spark, sf):
+    events, out = _replay(spark, sf), None
+    for fmt, read in (("jsonl", spark.read.json), ("csv", lambda p: spark.read.csv(p, header=True))):
+        path = scratch_path(spark, fmt)
+        st.drain(st.start(events, fmt, path, f"{path}-checkpoint"))
+        part = read(f"{path}/batch=*").select(F.lit(fmt).alias("fmt"), "prediction", "severity")
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy("fmt", "prediction", "severity").agg(F.count("*").alias("n_events"))
+
+
+@query("stream_summary", sql("SELECT total, normal, attacks, critical, round(avg_confidence, 6) AS avg_confidence, risk_level FROM s", "alerts", s=_SUMMARY))
+def _stream_summary(spark, sf):
+    path = scratch_path(spark, "summary")
+    st.drain(st.start_batches(st.running_summary(_events_stream(spark, sf)), st.write_latest(path), f"{path}-checkpoint", mode="complete"))
+    return st.read_latest(spark, path).withColumn("avg_confidence", round_to("avg_confidence", 6))
+
+
+@query("stream_timeline", sql("""
+SELECT strftime(date_trunc('hour', timestamp), '%Y-%m-%d %H:%M:%S') AS window_start, prediction, count(*) AS n_events,
+       round(avg(binary_probability), 6) AS avg_probability FROM alerts GROUP BY 1, 2""", "alerts"))
+def _stream_timeline(spark, sf):
+    path = scratch_path(spark, "timeline")
+    counts = st.running_timeline(_events_stream(spark, sf))
+    st.drain(st.start_batches(counts, st.write_latest(path), f"{path}-checkpoint", mode="complete"))
+    return st.read_latest(spark, path).select(
+        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "prediction", "n_events",
+        round_to("avg_probability", 6).alias("avg_probability"))
+
+
+@query("dedup_events", sql("SELECT event_id, prediction, confidence FROM alerts", "alerts"))
+def _dedup_events(spark, sf):
+    events, path = table(spark, sf, "events"), scratch_path(spark, "dedup")
+    repeated = events.unionByName(events.filter("event_id % 5 = 0"))
+    unique = st.without_repeats(alerts_of(_staged(spark, repeated, "repeated")), late="60 days")
+    st.drain(st.start_batches(unique, st.write_latest(path), f"{path}-checkpoint"))
+    return st.read_batches(spark, path).select("event_id", "prediction", "confidence")
+
+
+@query("stream_quarantine", sql("""
+SELECT reason, count(*) AS n_rows FROM (SELECT unnest(string_split(reasons, ',')) AS reason FROM v WHERE reasons <> '')
+GROUP BY reason UNION ALL SELECT 'accepted', count(*) FROM v WHERE reasons = ''""", "flows", v=_TEXT))
+def _stream_quarantine(spark, sf):
+    path = scratch_path(spark, "quarantine")
+    checked = va.validate_rows(_staged(spark, _text_rows(spark, sf), "text"), ["spkts", "sttl"], required=["sttl"])
+    st.drain(st.quarantine_batches(checked, f"{path}/good", f"{path}/bad", f"{path}-checkpoint"))
+    good = st.read_batches(spark, f"{path}/good").agg(F.lit("accepted").alias("reason"), F.count("*").alias("n_rows"))
+    return st.read_batches(spark, f"{path}/bad").groupBy("reason").agg(F.sum("n_rows").alias("n_rows")).unionByName(good)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsieve.functions.scalars import class_index, lookup
+from flowsieve.functions.scalars import class_index, lookup, round_to
 from flowsieve.operators.triage import harmonize
 from flowsieve.schemas import ACTIONS, CATEGORIES, SEVERITY
 
@@ -48,7 +48,7 @@ def _attack_kind() -> Column:
 def _flow_columns() -> list[Column]:
     normal = F.col("o_orderstatus") == "F"
     label = F.when(normal, 0).otherwise(1)
-    score = F.round(label * F.lit(0.35) + 0.22 + F.col("l_quantity") * 0.45 / 50.0, 4)
+    score = round_to(label * F.lit(0.35) + 0.22 + F.col("l_quantity") * 0.45 / 50.0, 4)
     return [
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
         F.col("l_returnflag").alias("proto"), F.col("p_brand").alias("service"), F.col("l_linestatus").alias("state"),
@@ -112,13 +112,13 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alerts_of(events: DataFrame) -> DataFrame:
     """The projection behind :func:`alerts`; works on a stream as well."""
-    p = F.round(F.least(F.col("value") / 100, F.lit(1.0)), 4)
+    p = round_to(F.least(F.col("value") / 100, F.lit(1.0)), 4)
     attack = p >= 0.8
     partial = events.select(
         F.col("event_id").cast("string").alias("event_id"), F.col("ts").cast("timestamp").alias("timestamp"),
         attack.alias("is_attack"), F.when(attack, lookup(_EVENT_KIND, F.col("event_type"), None)).alias("attack_category"),
         p.alias("binary_probability"),
-        F.when(attack, F.round(0.5 + F.col("event_id") % 50 / 100, 4)).alias("multi_confidence"),
+        F.when(attack, round_to(0.5 + F.col("event_id") % 50 / 100, 4)).alias("multi_confidence"),
         F.lit("1.0.0").alias("model_version"), F.col("event_id").alias("record_index"),
     )
     return harmonize(partial)
