@@ -67,14 +67,14 @@ def _stream_summary(spark, sf):
 
 @query("stream_timeline", sql("""
 SELECT strftime(date_trunc('hour', timestamp), '%Y-%m-%d %H:%M:%S') AS window_start, prediction, count(*) AS n_events,
-       round(avg(binary_probability), 6) AS avg_probability FROM alerts GROUP BY 1, 2""", "alerts"))
+       round(sum(binary_probability), 4) AS probability_sum FROM alerts GROUP BY 1, 2""", "alerts"))
 def _stream_timeline(spark, sf):
     path = scratch_path(spark, "timeline")
     counts = st.running_timeline(_events_stream(spark, sf))
     st.drain(st.start_batches(counts, st.write_latest(path), f"{path}-checkpoint", mode="complete"))
     return st.read_latest(spark, path).select(
         F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "prediction", "n_events",
-        round_to("avg_probability", 6).alias("avg_probability"))
+        round_to(F.col("avg_probability") * F.col("n_events"), 4).alias("probability_sum"))
 
 
 @query("dedup_events", sql("SELECT event_id, prediction, confidence FROM alerts", "alerts"))
