@@ -33,8 +33,17 @@ def round_to(value: Column | str, digits: int) -> Column:
     return F.when(scaled < 2.0 ** 52, rounded).otherwise(number)
 
 
+def round_share(value: Column | str, digits: int = 4) -> Column:
+    """:func:`round_to` for values that are never negative; NaN becomes null.
+
+    It names its argument once, which keeps generated code small in hot paths.
+    """
+    number = F.nanvl(F.col(value) if isinstance(value, str) else value, F.lit(None).cast("double"))
+    return F.floor(number * (10.0 ** digits) + 0.5) / (10.0 ** digits)
+
+
 def percent(part: Column, whole: Column, digits: int) -> Column:
-    return round_to(ratio(part, whole) * 100, digits)
+    return round_share(ratio(part, whole) * 100, digits)
 
 
 def finite_or_null(value: Column) -> Column:
@@ -89,9 +98,9 @@ def argmax(values: Column) -> Column:
     return (F.array_position(values, F.array_max(values)) - 1).cast("int")
 
 
-def mask_index(values: Column, index: int) -> Column:
-    """The array with one position pushed below every probability."""
-    return F.transform(values, lambda v, i: F.when(i == index, F.lit(-1.0)).otherwise(v))
+def without_index(values: Column, index: int) -> Column:
+    """The array without one position."""
+    return F.concat(F.slice(values, 1, index), F.slice(values, index + 2, F.greatest(F.size(values), F.lit(0))))
 
 
 def literal_array(values: Iterable) -> Column:

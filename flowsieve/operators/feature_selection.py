@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowsieve.functions.scalars import literal_array, missing, round_to
+from flowsieve.functions.scalars import missing, round_to
 from flowsieve.operators.exploration import correlations, variances
 from flowsieve.operators.quantiles import exact_quantiles
 
@@ -46,9 +46,8 @@ def mutual_information(train: DataFrame, columns: Sequence[str], label: str = "l
         edges[r["feature"]].append(r["value"])
 
     def bin_of(c: str):
-        cuts = sorted(edges[c])
         value = F.col(c).cast("double")
-        index = F.size(F.filter(literal_array(cuts), lambda e: value > e)) if cuts else F.lit(0)
+        index = sum(((value > e).cast("int") for e in edges[c]), F.lit(0))
         return F.when(~missing(train, c), index)
 
     cells = F.array(*[F.struct(F.lit(c).alias("feature"), bin_of(c).alias("bin")) for c in columns])

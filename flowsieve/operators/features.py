@@ -11,13 +11,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowsieve.functions.scalars import class_index, missing, numeric_columns, round_to, string_columns
-from flowsieve.functions.scale import broadcast_if_small
+from flowsieve.functions.scale import broadcast_if_small, materialize
 from flowsieve.operators.quantiles import approximate_median, exact_median
 from flowsieve.schemas import NON_FEATURES
 
@@ -41,10 +41,18 @@ def medians(train: DataFrame, columns: Sequence[str], approx: bool = False) -> d
     return approximate_median(train, columns) if approx else exact_median(train, columns)
 
 
+def value_table(train: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows per (feature, value) of the categorical columns: one scan serves modes and categories."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns])
+    return train.select(F.inline(pairs)).filter("value is not null").groupBy("feature", "value").agg(F.count("*").alias("n"))
+
+
 def modes(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Most frequent value per column, the smallest on ties, as rows (feature, value)."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns])
-    counts = train.select(F.inline(pairs)).filter("value is not null").groupBy("feature", "value").agg(F.count("*").alias("n"))
+    return _modes(value_table(train, columns))
+
+
+def _modes(counts: DataFrame) -> DataFrame:
     return counts.groupBy("feature").agg(F.min_by("value", F.struct((-F.col("n")).alias("a"), "value")).alias("value"))
 
 
@@ -62,9 +70,11 @@ def moments(train: DataFrame, columns: Sequence[str], fill: Mapping[str, float]
 
 def categories(train: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str]]:
     """Sorted distinct values per column. Encodings are driver-side, so the count is checked first."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in columns])
-    values = train.select(F.inline(pairs)).filter("value is not null").distinct()
-    rows = values.limit(limit + 1).collect()
+    return _categories(value_table(train, columns), columns, limit)
+
+
+def _categories(counts: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str]]:
+    rows = counts.select("feature", "value").limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"more than {limit} categories to encode; hash or group the column first")
     found: dict[str, list[str]] = {c: [] for c in columns}
@@ -169,7 +179,8 @@ def fit_features(
     categorical = list(categorical if categorical is not None else found_categorical)
     fill = {c: 0.0 for c in numeric} | medians(train, numeric, approx) if numeric else {}
     scale = moments(train, numeric, fill) if numeric else {}
-    common = {r["feature"]: r["value"] for r in modes(train, categorical).collect()} if categorical else {}
+    counts = materialize(value_table(train, categorical)) if categorical else None
+    common = {r["feature"]: r["value"] for r in _modes(counts).collect()} if categorical else {}
 
     imputed = [
         f"coalesce(nanvl(CAST(`{c}` AS DOUBLE), NULL), {_literal(fill[c])}) AS `{c}__imputed`" for c in numeric
@@ -181,16 +192,17 @@ def fit_features(
     names = list(numeric)
     hot = [f"{c}__hot" for c in categorical]
     if categorical:
-        categories(train, categorical)  # refuses a cardinality the driver cannot hold
-        indexer = StringIndexer(
-            inputCols=[f"{c}__imputed" for c in categorical], outputCols=[f"{c}__index" for c in categorical],
-            stringOrderType="alphabetAsc", handleInvalid="keep")
-        prepared = stages[0].transform(train)
-        indexed = indexer.fit(prepared)
-        encoder = OneHotEncoder(inputCols=indexer.getOutputCols(), outputCols=hot, dropLast=True, handleInvalid="error")
-        stages += [indexed, encoder]
-        for c, labels in zip(categorical, indexed.labelsArray, strict=True):
-            names += [f"{c}_{v}" for v in labels]
+        values = _categories(counts, categorical)
+        for c in categorical:
+            values[c] = values[c] or [common.get(c, "")]
+        indexers = [
+            StringIndexerModel.from_labels(
+                values[c], inputCol=f"{c}__imputed", outputCol=f"{c}__index", handleInvalid="keep")
+            for c in categorical
+        ]
+        encoder = OneHotEncoder(inputCols=[f"{c}__index" for c in categorical], outputCols=hot, dropLast=True)
+        stages += [*indexers, encoder]
+        names += [f"{c}_{v}" for c in categorical for v in values[c]]
     stages.append(VectorAssembler(inputCols=[f"{c}__imputed" for c in numeric] + hot, outputCol="f_raw"))
     stages.append(VectorAssembler(inputCols=[f"{c}__scaled" for c in numeric] + hot, outputCol="f_scaled"))
     return FittedFeatures(Pipeline(stages=stages).fit(train), names, numeric, categorical)

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowsieve.functions.scalars import argmax, class_name, literal_array, ratio, round_to
+from flowsieve.functions.scalars import argmax, class_name, literal_array, ratio, round_share, round_to
 from flowsieve.functions.scale import running_totals
 from flowsieve.schemas import DEFAULT_THRESHOLD, OPERATIONAL_THRESHOLD, THRESHOLDS
 
@@ -45,7 +45,7 @@ def binary_rates(digits: int = 4) -> dict[str, Column]:
         "balanced_accuracy": (recall + specificity) / 2,
         "accuracy": ratio(tp + tn, tn + fp + fn + tp),
     }
-    return {name: round_to(value, digits) for name, value in raw.items()}
+    return {name: round_share(value, digits) for name, value in raw.items()}
 
 
 def threshold_counts(
@@ -211,9 +211,13 @@ def confusion_multi(
         F.count("*").alias("n_rows")
     )
     base = counts.select(*by).distinct() if by else scores.sparkSession.range(1).drop("id")
-    return _class_grid(base, classes, "y", "yhat").join(counts, [*by, "y", "yhat"], "left").select(
-        *by, "y", "yhat", F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows")
-    )
+    cells = _class_grid(base, classes, "y", "yhat").select(
+        *by, "y", "yhat", F.lit(0).cast("long").alias("n_rows"), F.lit(True).alias("_listed"))
+    # Zero cells join by aggregation: a join would push null checks on y and yhat
+    # down into the scoring expressions and evaluate them twice per row.
+    both = counts.withColumn("_listed", F.lit(False)).unionByName(cells)
+    summed = both.groupBy(*by, "y", "yhat").agg(F.sum("n_rows").alias("n_rows"), F.bool_or("_listed").alias("_listed"))
+    return summed.filter("_listed").drop("_listed")
 
 
 def per_class_metrics(
@@ -232,7 +236,7 @@ def per_class_metrics(
     precision = ratio(F.col("tp"), F.col("predicted"))
     recall = ratio(F.col("tp"), F.col("support"))
     f1 = ratio(2 * F.col("tp"), F.col("support") + F.col("predicted"))
-    shown = (lambda c: round_to(c, digits)) if digits is not None else (lambda c: c)
+    shown = (lambda c: round_share(c, digits)) if digits is not None else (lambda c: c)
     return sums.select(
         *by, "cls", class_name(F.col("cls"), classes).alias("class_name"),
         shown(precision).alias("precision"), shown(recall).alias("recall"), shown(f1).alias("f1"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowsieve import MODEL_VERSION
-from flowsieve.functions.scalars import argmax, class_name, lookup, mask_index, round_to
+from flowsieve.functions.scalars import argmax, class_name, lookup, round_share, round_to, without_index
 from flowsieve.operators.metrics import flagged
 from flowsieve.schemas import (
     ACTIONS, CATEGORIES, DEFAULT_ACTION, DEFAULT_SEVERITY, NORMAL, OPERATIONAL_THRESHOLD, SEVERITY,
@@ -34,16 +34,16 @@ def triage(
     classes = list(classes)
     mark = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
     attack = flagged(F.col(p), mark)
-    masked = mask_index(F.col(probs), classes.index(normal)) if normal in classes else F.col(probs)
-    best = F.when(attack, argmax(masked))
-    staged = scored.withColumns({"_attack": attack, "_best": best})
-    kind = F.when(F.col("_attack"), class_name(F.col("_best"), classes)).otherwise(normal)
-    stage_two = F.when(F.col("_attack"), round_to(F.try_element_at(F.col(probs), F.col("_best") + 1), 4))
-    stage_one = round_to(F.when(F.col("_attack"), F.col(p)).otherwise(1.0 - F.col(p)), 4)
+    others = [c for c in classes if c != normal]
+    rivals = without_index(F.col(probs), classes.index(normal)) if normal in classes else F.col(probs)
+    staged = scored.withColumns({"_attack": attack, "_rivals": F.when(attack, rivals)})
+    kind = F.when(F.col("_attack"), class_name(argmax(F.col("_rivals")), others)).otherwise(normal)
+    stage_two = round_share(F.array_max("_rivals"))
+    stage_one = round_share(F.when(F.col("_attack"), F.col(p)).otherwise(1.0 - F.col(p)))
     return staged.withColumns({
         "prediction": F.when(F.col("_attack"), "Attack").otherwise("Normal"),
         "attack_type": kind,
-        "binary_probability": round_to(F.col(p), 4),
+        "binary_probability": round_share(p),
         "binary_threshold": round_to(mark, 2),
         "binary_confidence": stage_one,
         "multiclass_probability": stage_two,
@@ -51,7 +51,7 @@ def triage(
         "severity": F.when(F.col("_attack"), lookup(SEVERITY, kind, DEFAULT_SEVERITY)).otherwise("None"),
         "recommended_action": F.when(F.col("_attack"), lookup(ACTIONS, kind, DEFAULT_ACTION)).otherwise(ACTIONS[NORMAL]),
         "is_attack": F.col("_attack"),
-    }).drop("_attack", "_best")
+    }).drop("_attack", "_rivals")
 
 
 def triage_with_bypass(

@@ -203,8 +203,8 @@ class Detector:
         required = [*self.features.numeric, *self.features.categorical]
         kept = list(dict.fromkeys([*keys, "record_index"]))
         ready = self.features.transform(validation.strip_ground_truth(records, required, kept))
-        staged = triage.triage_with_bypass(
-            self.binary.score_binary(ready), self.multi.score_multi, self.classes, threshold=self.threshold)
+        scored = materialize(self.binary.score_binary(ready))  # both branches read it
+        staged = triage.triage_with_bypass(scored, self.multi.score_multi, self.classes, threshold=self.threshold)
         return triage.as_events(staged.drop("f_raw", "f_scaled"), run_id, keys=keys)
 
     def metadata(self, spark: SparkSession) -> DataFrame:

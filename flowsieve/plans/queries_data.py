@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowsieve.functions.scalars import class_name, round_to
+from flowsieve.functions.scale import materialize
 from flowsieve.operators import (
     alerts as al, cleaning, exploration as ex, profiling as pr, sampling as sa, triage as tr, validation as va,
 )
@@ -446,7 +447,7 @@ def _variance_profile(spark, sf):
     min({c}) AS min, max({c}) AS max, round(quantile_cont({c}, 0.25), 4) AS q25, round(quantile_cont({c}, 0.5), 4) AS q50,
     round(quantile_cont({c}, 0.75), 4) AS q75 FROM cleaned""" for c in ("spkts", "sbytes", "rate", "dur")), "cleaned"))
 def _numeric_describe(spark, sf):
-    clean = cleaning.clean_infinities(flows_dirty(spark, sf))
+    clean = materialize(cleaning.clean_infinities(flows_dirty(spark, sf)).select("spkts", "sbytes", "rate", "dur"))
     out = ex.numeric_describe(clean, ["spkts", "sbytes", "rate", "dur"])
     return out.select("feature", "n_rows", "min", "max", *[round_to(c, 4).alias(c) for c in ("mean", "std", "q25", "q50", "q75")])
 

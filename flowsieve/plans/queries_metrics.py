@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowsieve.functions.scalars import round_to
+from flowsieve.functions.scale import materialize
 from flowsieve.operators import cleaning, features as fe, feature_selection as fs, metrics as me, thresholds as th, triage as tr
 from flowsieve.operators.explain import linear_contributions, mean_abs_attribution
 from flowsieve.plans.catalog import query
@@ -399,7 +400,7 @@ _SCALED = [f"({c} - (SELECT avg({c}) FROM train)) / (SELECT CASE WHEN stddev_pop
 def _feature_matrix(spark, sf):
     from pyspark.ml.functions import vector_to_array
 
-    train, _ = splits(spark, sf)
+    train = materialize(splits(spark, sf)[0].select(*NUMERIC, *CATEGORICAL))
     fitted = fe.fit_features(train, NUMERIC, CATEGORICAL)
     out = fe.label_encode(fitted.transform(flows(spark, sf)), "attack_cat", CLASSES)
 
@@ -451,7 +452,8 @@ _MI_COLUMNS = ["spkts", "sbytes", "rate", "dbytes", "smean", "p"]
 
 @query("mutual_information", sql("SELECT feature, round(v, 6) AS mutual_information FROM mi", "train", **_mi_sql(_MI_COLUMNS)))
 def _mutual_information(spark, sf):
-    out = fs.mutual_information(splits(spark, sf)[0], _MI_COLUMNS)
+    train = materialize(splits(spark, sf)[0].select("label", *_MI_COLUMNS))
+    out = fs.mutual_information(train, _MI_COLUMNS)
     return out.withColumn("mutual_information", round_to("mutual_information", 6))
 
 
@@ -461,7 +463,8 @@ _SURVIVORS = ["spkts", "sbytes", "dbytes", "smean", "sttl"]
 
 @query("select_features", sql("SELECT feature FROM mi ORDER BY round(v, 9) DESC, feature LIMIT 3", "train", **_mi_sql(_SURVIVORS)))
 def _select_features(spark, sf):
-    chosen = fs.select_features(splits(spark, sf)[0], _SELECTABLE, k=3)
+    train = materialize(splits(spark, sf)[0].select("label", *_SELECTABLE))
+    chosen = fs.select_features(train, _SELECTABLE, k=3)
     return spark.createDataFrame([(c,) for c in chosen.selected], "feature string")
 
 

@@ -22,7 +22,7 @@ _PARAMS = {"logistic_regression": _LR, "random_forest": _RF, "boosted_trees": _G
 
 def _prepared(spark, sf):
     """Features of both splits, fixed once because every fit reads them again."""
-    train, test = splits(spark, sf)
+    train, test = (materialize(f) for f in splits(spark, sf))
     fitted, ready_train, ready_test = pl.build_features(train, test, CLASSES, numeric=NUMERIC, categorical=CATEGORICAL)
     kept = ["id", *NUMERIC, *CATEGORICAL, "label", "attack_cat", "y", "f_raw", "f_scaled"]
     return fitted, materialize(ready_train.select(*kept)), materialize(ready_test.select(*kept))

@@ -78,13 +78,14 @@ def probs(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = [F.col("l_partkey").alias("_pk"), F.col("l_suppkey").alias("_sk")]
     base = _joined(spark, sf_dir).select(*_flow_columns(), *keys)
     base = base.withColumn("y", class_index(F.col("attack_cat"), CLASSES))
-    raw = [
-        (1 + (F.col("_pk") * (7 + i) + F.col("_sk") * i) % 97 + F.when(F.col("y") == i, 60).otherwise(0)).cast("double")
+    raw = {
+        f"_r{i}": (1 + (F.col("_pk") * (7 + i) + F.col("_sk") * i) % 97 + F.when(F.col("y") == i, 60).otherwise(0)).cast("double")
         for i in range(len(CLASSES))
-    ]
-    base = base.withColumn("_raw", F.array(*raw))
-    total = F.aggregate("_raw", F.lit(0.0), lambda a, v: a + v)
-    return base.withColumn("probs", F.transform("_raw", lambda v: v / total)).drop("_raw", "_pk", "_sk")
+    }
+    total = sum((F.col(c) for c in raw), F.lit(0.0))
+    shares = F.array(*[F.col(c) / F.col("_total") for c in raw])
+    ready = base.withColumns(raw).withColumn("_total", total).withColumn("probs", shares)
+    return ready.drop(*raw, "_total", "_pk", "_sk")
 
 
 def flows_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,19 +8,29 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings worth having on a cluster too. The method limit makes Spark split generated
+# code the JVM would refuse to compile (8,000 bytecodes) instead of interpreting it.
+RECOMMENDED = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def local_session(cores: str = "8", shuffle_partitions: str = "8", memory: str = "8g") -> SparkSession:
     """A session for tests and the bench; clusters bring their own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("flowsieve")
         .config("spark.sql.shuffle.partitions", shuffle_partitions)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
-        .getOrCreate()
+        .config("spark.ui.showConsoleProgress", "false")
     )
+    for key, value in RECOMMENDED.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
 
 
 def checkpoint_root(spark: SparkSession) -> str:
