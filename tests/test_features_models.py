@@ -1,0 +1,209 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from flowsieve.operators import exploration as ex, explain, feature_selection as fs, features as fe, models as mo
+from flowsieve.plans import pipelines as pl
+
+
+@pytest.fixture(scope="module")
+def train(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(600):
+        y = int(rng.random() < 0.5)
+        kind = ["Normal", "DoS", "Worms"][0 if not y else 1 + int(rng.random() < 0.3)]
+        x = None if i % 50 == 0 else float(rng.normal(2.0 * y, 1.0))
+        rows.append((i, x, float(rng.normal()), 5.0, "tcp" if rng.random() < 0.7 else "udp", None if i % 40 == 0 else ["A", "B"][y], kind, y))
+    return spark.createDataFrame(rows, "id int, x double, z double, k double, proto string, state string, attack_cat string, label int")
+
+
+@pytest.fixture(scope="module")
+def ready(train):
+    fitted, a, _ = pl.build_features(train, train, ["Normal", "DoS", "Worms"])
+    return fitted, a.cache()
+
+
+def test_feature_names_and_width(ready, train):
+    fitted, df = ready
+    assert fitted.names == ["x", "z", "k", "proto_tcp", "proto_udp", "state_A", "state_B"]
+    assert len(df.first()["f_raw"]) == len(df.first()["f_scaled"]) == 7
+    assert set(df.columns) == {*train.columns, "f_raw", "f_scaled", "y"}
+
+
+def test_unseen_and_missing_values_keep_the_width(ready, spark, train):
+    fitted, _ = ready
+    odd = spark.createDataFrame([(1, None, float("nan"), 5.0, "unknown_proto_xyz", None, "DoS", 1)], train.schema)
+    raw, scaled = fitted.transform(odd).select(vector_to_array("f_raw"), vector_to_array("f_scaled")).first()
+    assert len(raw) == 7 and not any(math.isnan(v) for v in [*raw, *scaled])
+    assert raw[3:5] == [0.0, 0.0] and sum(raw[5:]) == 1.0
+    assert raw[0] == pytest.approx(fe.medians(train, ["x"])["x"])
+
+
+def test_scaling_uses_the_population_deviation(ready):
+    _, df = ready
+    values = np.array([r[0] for r in df.select(vector_to_array("f_scaled")).collect()])
+    assert values[:, :2].mean(0) == pytest.approx([0, 0], abs=1e-9)
+    assert values[:, :2].std(0) == pytest.approx([1, 1], abs=1e-9)
+    assert np.all(values[:, 2] == 0.0)  # a constant column divides by one
+
+
+def test_mode_takes_the_smallest_on_ties(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,), (None,), (None,)], "s string")
+    assert fe.modes(df, ["s"]).first()["value"] == "a"
+
+
+def test_unseen_label_stops_the_job(spark):
+    df = spark.createDataFrame([("DoS",), ("New",)], "attack_cat string")
+    with pytest.raises(PySparkException, match="unseen label: New"):
+        fe.label_encode(df, "attack_cat", ["DoS", "Normal"]).collect()
+
+
+def test_too_many_categories_are_refused(spark):
+    with pytest.raises(ValueError, match="categories"):
+        fe.categories(spark.range(20).select(F.col("id").cast("string").alias("s")), ["s"], limit=10)
+
+
+def test_class_and_positive_weights(spark):
+    df = spark.createDataFrame([("a",)] * 3 + [("b",)], "c string")
+    assert {r["c"]: r["weight"] for r in fe.class_weights(df, "c").collect()} == {"a": 4 / 6, "b": 2.0}
+    assert fe.pos_weight(spark.createDataFrame([(0,)], "label int")).first()["pos_weight"] == 1.0
+
+
+# ---- exploration and selection ---------------------------------------------
+
+
+def test_correlation_is_pairwise_complete_and_survives_constants(spark):
+    rng = np.random.default_rng(9)
+    a, b = rng.normal(size=300), rng.normal(size=300)
+    rows = [(float(x), None if i % 7 == 0 else float(x + 0.1 * y), 1.0) for i, (x, y) in enumerate(zip(a, b, strict=True))]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {(r["feature_1"], r["feature_2"]): r["r"] for r in ex.correlations(df, ["a", "b", "c"]).collect()}
+    keep = [i for i in range(300) if i % 7]
+    assert got[("a", "b")] == pytest.approx(np.corrcoef(a[keep], (a + 0.1 * b)[keep])[0, 1], abs=1e-9)
+    assert got[("a", "c")] is None
+    assert [r["feature_1"] for r in ex.corr_pairs(df, ["a", "b", "c"]).collect()] == ["a"]
+
+
+def test_correlations_in_several_passes_agree(spark, monkeypatch):
+    df = spark.createDataFrame([tuple(float(v) for v in r) for r in np.random.default_rng(1).random((50, 4))], "a double, b double, c double, d double")
+    whole = {tuple(r)[:4]: r["r"] for r in ex.correlations(df, list("abcd")).collect()}
+    monkeypatch.setattr(ex, "_PAIRS_PER_PASS", 2)
+    assert whole == pytest.approx({tuple(r)[:4]: r["r"] for r in ex.correlations(df, list("abcd")).collect()})
+
+
+def test_selection_chain(train):
+    wide = train.withColumns({"x2": F.col("x") * 3 + 1, "x3": F.col("x") * -2}).fillna(0.0)
+    chosen = fs.select_features(wide, ["x", "z", "k", "x2", "x3"], k=1)
+    assert chosen.after_variance == ["x", "z", "x2", "x3"]
+    assert chosen.after_correlation == ["x", "z"]
+    assert chosen.selected == ["x"] and chosen.project(wide, ["id"]).columns == ["id", "x"]
+
+
+def test_mutual_information_of_a_copy_and_of_noise(spark):
+    df = spark.createDataFrame([(i % 2, float(i % 2), float(i // 2 % 2)) for i in range(400)], "label int, same double, other double")
+    got = {r[0]: r[1] for r in fs.mutual_information(df, ["same", "other"]).collect()}
+    assert got["same"] == pytest.approx(math.log(2), abs=1e-9) and got["other"] == pytest.approx(0, abs=1e-9)
+
+
+# ---- models -----------------------------------------------------------------
+
+SMALL = {"logistic_regression": {"maxIter": 20}, "random_forest": {"numTrees": 5, "maxDepth": 4}, "boosted_trees": {"maxIter": 3, "maxDepth": 3}}
+
+
+def test_binary_suite_learns_and_one_model_wins(ready):
+    _, df = ready
+    suite = mo.train_binary_suite(df, params=SMALL)
+    rows = pl.evaluate_binary_suite(suite, df, "train").collect()
+    assert len(rows) == 3 and sum(r["selected"] for r in rows) == 1
+    assert all(r["roc_auc"] > 0.9 for r in rows)
+    meta = mo.suite_metadata(df.sparkSession, suite, 600).collect()
+    assert {r["model"] for r in meta} == set(mo.MODEL_KINDS)
+
+
+def test_multi_suite_probabilities_sum_to_one(ready):
+    _, df = ready
+    suite = mo.train_multi_suite(df, "y", 3, SMALL)
+    for trained in suite.values():
+        sums = trained.score_multi(df).select(F.aggregate("probs", F.lit(0.0), lambda a, v: a + v).alias("s"), F.size("probs").alias("n"))
+        assert sums.filter("abs(s - 1) > 1e-9 OR n <> 3").count() == 0
+    rows = pl.evaluate_multi_suite(suite, df, ["DoS", "Normal", "Worms"], "train").collect()
+    assert len(rows) == 3 and sum(r["selected"] for r in rows) == 1
+
+
+def test_models_survive_saving(ready, tmp_path):
+    fitted, df = ready
+    trained = mo.train_multi_boosted(df, "y", 3, params=SMALL["boosted_trees"])
+    mo.save_model(trained, str(tmp_path / "m"))
+    again = mo.TrainedModel("boosted_trees", mo.load_model("multi_boosted_trees", str(tmp_path / "m")), "f_raw", 0.0)
+    a = [r["probs"] for r in trained.score_multi(df).orderBy("id").select("probs").collect()]
+    assert a == [r["probs"] for r in again.score_multi(df).orderBy("id").select("probs").collect()]
+    pl.save_features(fitted, df, df, str(tmp_path / "f"))
+    tr, te, names = pl.load_features(df.sparkSession, str(tmp_path / "f"))
+    assert tr.count() == te.count() == 600 and names == fitted.names
+    with pytest.raises(ValueError):
+        mo.load_model("svm", "x")
+
+
+def test_threshold_run_never_opens_test_before_the_choice(ready, monkeypatch):
+    _, df = ready
+    calls = []
+    original = pl.thresholds.selected_value
+    monkeypatch.setattr(pl.thresholds, "selected_value", lambda *a: (calls.append("chosen"), original(*a))[1])
+    run = pl.select_threshold_safely(df, lambda: (calls.append("test"), df)[1], params={"maxIter": 3})
+    assert calls == ["chosen", "test"]
+    report = run.report.collect()
+    assert {r["split"] for r in report} == {"validation", "test"} and len(report) == 14
+    assert {r["threshold"] for r in report if r["is_selected"]} == {run.threshold}
+
+
+def test_attack_only_experiment_selects_on_validation(ready):
+    _, df = ready
+    rows = pl.attack_only_experiment(df, df, ["Normal", "DoS", "Worms"], params=SMALL, kinds=["logistic_regression", "random_forest"]).collect()
+    assert [r["split"] for r in rows].count("test") == 1 and [r["split"] for r in rows].count("validation") == 2
+
+
+def test_detector_events_are_repeatable_and_clean(ready, train):
+    fitted, df = ready
+    detector = pl.Detector(fitted, mo.train_forest(df, params=SMALL["random_forest"]),
+                           mo.train_forest(df, "y", multiclass=True, params=SMALL["random_forest"]), ["DoS", "Normal", "Worms"], 0.5)
+    records = train.withColumn("record_index", F.col("id"))
+    once = {r["event_id"]: r for r in detector.detect(records, "r").collect()}
+    twice = {r["event_id"]: r for r in detector.detect_flagged(records.repartition(5), "r").collect()}
+    assert once.keys() == twice.keys() and len(once) == 600
+    assert all(once[k]["attack_type"] == twice[k]["attack_type"] for k in once)
+    assert "label" not in detector.detect(records, "r").columns
+    assert detector.metadata(train.sparkSession).first()["n_classes"] == 3
+    high = detector.detect(records, "r", threshold=1.01)
+    assert high.filter("prediction = 'Attack'").count() == 0
+
+
+def test_permutation_importance_ranks_the_informative_feature(ready, train):
+    fitted, df = ready
+    model = mo.train_forest(df, params=SMALL["random_forest"])
+    rows = explain.permutation_importance(
+        train, ["x", "z", "k"], ["id"], "label", lambda d: model.score_binary(fitted.transform(d)), repeats=2).collect()
+    got = {r["feature"]: r["importance"] for r in rows}
+    assert rows[0]["feature"] == "x" and got["k"] == pytest.approx(0, abs=1e-12)
+
+
+def test_shuffle_is_a_permutation(spark):
+    df = spark.createDataFrame([(i % 3, float(i)) for i in range(500)], "id int, v double")
+    out = explain._shuffled(df, ["v"], ["id"], 2, 42, 500)
+    for r in range(2):
+        moved = [x[0] for x in out.select(F.col("_swap")[r]["values"]["v"]).collect()]
+        assert sorted(moved) == [float(i) for i in range(500)]
+
+
+def test_linear_attribution(spark):
+    df = spark.createDataFrame([(1, 1.0, 4.0), (2, 3.0, 4.0)], "id int, a double, b double")
+    out = explain.explain(df, ["a", "b"], ["id"], "label", coefficients={"a": 2.0, "b": 9.0}, means={"a": 2.0, "b": 4.0}).collect()
+    assert [(r["feature"], r["importance"]) for r in out] == [("a", 2.0), ("b", 0.0)]
+    with pytest.raises(ValueError):
+        explain.explain(df, ["a"], ["id"], "label", method="shapley")
