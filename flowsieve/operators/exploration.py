@@ -5,15 +5,18 @@ from __future__ import annotations
 import itertools
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowsieve.functions.scalars import long_form, missing, percent, round_to
+from flowsieve.functions.scalars import literal_array, long_form, missing, percent, round_to
 from flowsieve.functions.scale import tagged_counts
 from flowsieve.operators.quantiles import exact_quantiles
 from flowsieve.schemas import RARE_CATEGORIES
 
-_PAIRS_PER_PASS = 800
+WIDE_COLUMNS = 10
+NOISE = 1e-10  # a deviation below this share of the mean is rounding noise: the column is constant
 
 
 # ---- splits side by side ----------------------------------------------------
@@ -143,36 +146,66 @@ def numeric_describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson r of every column pair over rows where both are present.
 
-    All pairs of a pass share one scan and one aggregate. A constant column
-    gives null instead of a division error.
+    One scan in either form. Few columns use one aggregate with three terms per
+    pair. The terms grow with the square of the columns, so wider tables sum
+    matrix products per task instead. A constant column gives null.
     """
-    pairs = list(itertools.combinations(columns, 2))
-    out = None
-    for start in range(0, len(pairs), _PAIRS_PER_PASS):
-        part = _pair_pass(df, columns, pairs[start:start + _PAIRS_PER_PASS])
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def _pair_pass(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    names = {c: i for i, c in enumerate(columns)}
-    values = df.select(*[_present(df, c).alias(f"v{i}") for c, i in names.items()])
-    aggregates = []
-    for n, (a, b) in enumerate(pairs):
-        x, y = F.col(f"v{names[a]}"), F.col(f"v{names[b]}")
+    return _pair_aggregates(df, columns) if len(columns) <= WIDE_COLUMNS else _pair_products(df, columns)
+
+
+def _pair_aggregates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    values = df.select(*[_present(df, c).alias(f"v{i}") for i, c in enumerate(columns)])
+    aggregates, rows = [], []
+    for n, (i, j) in enumerate(itertools.combinations(range(len(columns)), 2)):
+        x, y = F.col(f"v{i}"), F.col(f"v{j}")
         x_both, y_both = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
         aggregates += [
-            F.covar_pop(x, y).alias(f"c{n}"), F.var_pop(x_both).alias(f"x{n}"), F.var_pop(y_both).alias(f"y{n}"),
+            F.covar_pop(x, y).alias(f"c{n}"), F.stddev_pop(x_both).alias(f"x{n}"), F.stddev_pop(y_both).alias(f"y{n}"),
+            F.avg(x_both).alias(f"mx{n}"), F.avg(y_both).alias(f"my{n}"),
         ]
-    wide = values.agg(*aggregates)
-    rows = F.array(*[
-        F.struct(
-            F.lit(names[a]).alias("i"), F.lit(names[b]).alias("j"),
-            F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"),
-            F.try_divide(F.col(f"c{n}"), F.sqrt(F.col(f"x{n}")) * F.sqrt(F.col(f"y{n}"))).alias("r"),
-        ) for n, (a, b) in enumerate(pairs)
-    ])
-    return wide.select(F.inline(rows))
+        moving = (F.col(f"x{n}") > F.abs(f"mx{n}") * NOISE) & (F.col(f"y{n}") > F.abs(f"my{n}") * NOISE)
+        r = F.when(moving, F.col(f"c{n}") / (F.col(f"x{n}") * F.col(f"y{n}")))
+        rows.append(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(columns[i]).alias("feature_1"),
+                             F.lit(columns[j]).alias("feature_2"), r.alias("r")))
+    return values.agg(*aggregates).select(F.inline(F.array(*rows)))
+
+
+def _pair_products(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Per-task products of the centred columns and their presence masks, summed per pair.
+
+    Columns are centred on their mean and scaled by their deviation first, so
+    the sums keep their precision; values a hair apart count as constant.
+    """
+    k = len(columns)
+    names = [f"v{i}" for i in range(k)]
+    values = df.select(*[_present(df, c).alias(n) for c, n in zip(columns, names, strict=True)])
+    row = values.agg(*[f(n).alias(f"{a}{n}") for n in names for a, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    centre = [row[f"m{n}"] or 0.0 for n in names]
+    spread = [s if (s := row[f"s{n}"] or 0.0) > abs(m) * NOISE else 1.0 for n, m in zip(names, centre, strict=True)]
+
+    def products(batches):
+        sums = np.zeros((6, k, k))
+        for batch in batches:
+            x = batch.to_numpy(dtype="float64", na_value=np.nan)
+            here = (~np.isnan(x)).astype("float64")
+            z = np.where(here > 0, (x - centre) / spread, 0.0)
+            by_row, squares = z.T @ here, (z * z).T @ here
+            sums += np.stack([here.T @ here, by_row, by_row.T, squares, squares.T, z.T @ z])
+        i, j = np.triu_indices(k, 1)
+        yield pd.DataFrame({"i": i, "j": j, **{n: sums[a][i, j] for a, n in enumerate(("n", "sx", "sy", "sxx", "syy", "sxy"))}})
+
+    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+    totals = values.mapInPandas(products, schema).groupBy("i", "j").agg(
+        *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    n = F.col("n")
+    var_x = F.col("sxx") / n - (F.col("sx") / n) ** 2
+    var_y = F.col("syy") / n - (F.col("sy") / n) ** 2
+    cov = F.col("sxy") / n - F.col("sx") / n * (F.col("sy") / n)
+    spread_out = (n > 0) & (var_x > 1e-12) & (var_y > 1e-12)
+    label = literal_array(columns)
+    return totals.select(
+        "i", "j", F.element_at(label, F.col("i") + 1).alias("feature_1"), F.element_at(label, F.col("j") + 1).alias("feature_2"),
+        F.when(spread_out, cov / F.sqrt(var_x * var_y)).alias("r"))
 
 
 def corr_pairs(df: DataFrame, columns: Sequence[str], threshold: float = 0.90) -> DataFrame:
@@ -187,7 +220,7 @@ def corr_matrix(df: DataFrame, columns: Sequence[str], digits: int = 4) -> DataF
     upper = correlations(df, columns).select("feature_1", "feature_2", round_to("r", digits).alias("correlation"))
     lower = F.struct(F.col("feature_2").alias("feature_1"), F.col("feature_1").alias("feature_2"), "correlation")
     same = F.struct("feature_1", "feature_2", "correlation")
-    diagonal = variances(df, columns, population=True).select(
-        F.col("feature").alias("feature_1"), F.col("feature").alias("feature_2"),
-        F.when(F.col("variance") > 0, F.lit(1.0)).alias("correlation"))
+    spans = df.agg(*[(F.min(_present(df, c)) < F.max(_present(df, c))).alias(c) for c in columns])
+    diagonal = long_form(spans, columns, "feature_1", "moves").select(
+        "feature_1", F.col("feature_1").alias("feature_2"), F.when(F.col("moves"), F.lit(1.0)).alias("correlation"))
     return upper.select(F.inline(F.array(same, lower))).unionByName(diagonal)

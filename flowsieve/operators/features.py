@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from flowsieve.functions.scalars import class_index, missing, numeric_columns, round_to, string_columns
 from flowsieve.functions.scale import broadcast_if_small, materialize
+from flowsieve.operators.exploration import NOISE
 from flowsieve.operators.quantiles import approximate_median, exact_median
 from flowsieve.schemas import NON_FEATURES
 
@@ -65,7 +66,9 @@ def moments(train: DataFrame, columns: Sequence[str], fill: Mapping[str, float]
         return F.coalesce(present, F.lit(fill[c])) if c in fill else present
 
     row = train.agg(*[f(value(c)).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
-    return {c: (row[f"m{i}"] or 0.0, row[f"s{i}"] or 1.0) for i, c in enumerate(columns)}
+    found = {c: (row[f"m{i}"] or 0.0, row[f"s{i}"] or 0.0) for i, c in enumerate(columns)}
+    # A deviation that is only rounding noise counts as zero.
+    return {c: (m, s if s > abs(m) * NOISE else 1.0) for c, (m, s) in found.items()}
 
 
 def categories(train: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str]]:

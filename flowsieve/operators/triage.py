@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from flowsieve import MODEL_VERSION
 from flowsieve.functions.scalars import argmax, class_name, lookup, round_share, round_to, without_index
+from flowsieve.functions.scale import broadcast_if_small
 from flowsieve.operators.metrics import flagged
 from flowsieve.schemas import (
     ACTIONS, CATEGORIES, DEFAULT_ACTION, DEFAULT_SEVERITY, NORMAL, OPERATIONAL_THRESHOLD, SEVERITY,
@@ -79,8 +80,8 @@ def as_events(
 
 
 def triage_lookup(events: DataFrame, dimension: DataFrame, key: str = "attack_type") -> DataFrame:
-    """Severity and action from the ten-row dimension, with defaults for unknown types."""
-    return events.join(F.broadcast(dimension), key, "left").fillna(
+    """Severity and action from a dimension table, with defaults for unknown types."""
+    return events.join(broadcast_if_small(dimension), key, "left").fillna(
         {"severity": DEFAULT_SEVERITY, "recommended_action": DEFAULT_ACTION})
 
 

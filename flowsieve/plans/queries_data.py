@@ -480,6 +480,16 @@ def _corr_pairs(spark, sf):
     return ex.corr_pairs(cleaning.clean_split(flows_dirty(spark, sf), by="split"), _CORR, 0.002)
 
 
+_WIDE = [*NUMERIC, "label", "p"]
+
+
+@query("corr_wide", sql("SELECT feature_1, feature_2, round(r, 4) AS correlation FROM k WHERE r IS NOT NULL", "train",
+                        k=_corr_sql(_WIDE).replace("FROM cleaned", "FROM train")))
+def _corr_wide(spark, sf):
+    pairs = ex.correlations(splits(spark, sf)[0], _WIDE).filter("r IS NOT NULL")
+    return pairs.select("feature_1", "feature_2", round_to("r", 4).alias("correlation"))
+
+
 @query("corr_matrix", sql("""
 SELECT feature_1, feature_2, round(r, 4) AS correlation FROM k UNION ALL SELECT feature_2, feature_1, round(r, 4) FROM k
 UNION ALL SELECT f, f, CASE WHEN f <> 'dttl' THEN CAST(1 AS DOUBLE) END FROM (SELECT unnest(['spkts', 'sload', 'sttl', 'dttl']) AS f)""",

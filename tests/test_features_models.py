@@ -54,6 +54,12 @@ def test_scaling_uses_the_population_deviation(ready):
     assert np.all(values[:, 2] == 0.0)  # a constant column divides by one
 
 
+def test_constant_columns_scale_to_zero_despite_rounding(spark):
+    df = spark.createDataFrame([(3.3, float(i)) for i in range(1000)], "k double, v double").repartition(7)
+    mean, spread = fe.moments(df, ["k"])["k"]
+    assert spread == 1.0 and mean == pytest.approx(3.3)
+
+
 def test_mode_takes_the_smallest_on_ties(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,), (None,), (None,)], "s string")
     assert fe.modes(df, ["s"]).first()["value"] == "a"
@@ -91,11 +97,19 @@ def test_correlation_is_pairwise_complete_and_survives_constants(spark):
     assert [r["feature_1"] for r in ex.corr_pairs(df, ["a", "b", "c"]).collect()] == ["a"]
 
 
-def test_correlations_in_several_passes_agree(spark, monkeypatch):
-    df = spark.createDataFrame([tuple(float(v) for v in r) for r in np.random.default_rng(1).random((50, 4))], "a double, b double, c double, d double")
-    whole = {tuple(r)[:4]: r["r"] for r in ex.correlations(df, list("abcd")).collect()}
-    monkeypatch.setattr(ex, "_PAIRS_PER_PASS", 2)
-    assert whole == pytest.approx({tuple(r)[:4]: r["r"] for r in ex.correlations(df, list("abcd")).collect()})
+def test_wide_and_narrow_correlations_agree(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    values = rng.random((400, 5)) * [1, 1e9, 1, 1e-6, 0] + [0, 1e12, 5, 0, 3.3]
+    rows = [tuple(None if rng.random() < 0.1 else float(v) for v in r) for r in values]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").repartition(4)
+    key = lambda out: {(r["feature_1"], r["feature_2"]): r["r"] for r in out.collect()}
+    narrow = key(ex.correlations(df, list("abcde")))
+    monkeypatch.setattr(ex, "WIDE_COLUMNS", 1)
+    wide = key(ex.correlations(df, list("abcde")))
+    assert narrow.keys() == wide.keys() and len(wide) == 10
+    for pair, r in narrow.items():
+        assert wide[pair] == (pytest.approx(r, abs=1e-9) if r is not None else None)
+        assert (r is None) == ("e" in pair)
 
 
 def test_selection_chain(train):
