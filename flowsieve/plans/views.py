@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from flowsieve.functions.scalars import class_index, lookup, round_to
 from flowsieve.operators.triage import harmonize
 from flowsieve.schemas import ACTIONS, CATEGORIES, SEVERITY
+from flowsieve.sources.readers import spread
 
 CLASSES = sorted(CATEGORIES)
 NUMERIC = ["spkts", "sbytes", "rate", "dur", "dbytes", "smean", "sttl", "sload", "dttl"]
@@ -34,7 +35,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     items, orders, part = (table(spark, sf_dir, n) for n in ("lineitem", "orders", "part"))
-    return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(part, F.col("l_partkey") == F.col("p_partkey"))
+    return spread(items).join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(part, F.col("l_partkey") == F.col("p_partkey"))
 
 
 def _attack_kind() -> Column:

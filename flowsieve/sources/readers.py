@@ -59,6 +59,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a table of few files over the session's cores.
+
+    A file with one row group is read by one task, which would then do all the
+    row-wise work too. Tables with more files than cores are left as they lie.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """One missing notion: NaN becomes null."""
     return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in floating_columns(df)})
