@@ -294,9 +294,9 @@ _NORMAL_AT = CLASSES.index("Normal") + 1
 
 def _triage_sql(threshold: float) -> dict[str, str]:
     return {
-        "masked": f"SELECT id, p, probs, list_transform(probs, lambda v, i: CASE WHEN i = {_NORMAL_AT} THEN -1::DOUBLE ELSE v END) AS m FROM probs",
-        "best": f"SELECT id, p, p >= {threshold} AS hit, {CLASS_LIST_SQL}[list_position(m, list_max(m))] AS kind, round(list_max(m), 4) AS mp FROM masked",
-        "events0": f"""SELECT id, CASE WHEN hit THEN 'Attack' ELSE 'Normal' END AS prediction, CASE WHEN hit THEN kind ELSE 'Normal' END AS attack_type,
+        "masked": f"SELECT id, row_number() OVER (ORDER BY id, spkts, sbytes, rate, dur) - 1 AS record_index, p, probs, list_transform(probs, lambda v, i: CASE WHEN i = {_NORMAL_AT} THEN -1::DOUBLE ELSE v END) AS m FROM probs",
+        "best": f"SELECT id, record_index, p, p >= {threshold} AS hit, {CLASS_LIST_SQL}[list_position(m, list_max(m))] AS kind, round(list_max(m), 4) AS mp FROM masked",
+        "events0": f"""SELECT id, record_index, CASE WHEN hit THEN 'Attack' ELSE 'Normal' END AS prediction, CASE WHEN hit THEN kind ELSE 'Normal' END AS attack_type,
           round(p, 4) AS binary_probability, CAST({threshold} AS DOUBLE) AS binary_threshold, CASE WHEN hit THEN round(p, 4) ELSE round(1 - p, 4) END AS binary_confidence,
           CASE WHEN hit THEN mp END AS multiclass_probability, CASE WHEN hit THEN mp ELSE round(1 - p, 4) END AS confidence,
           CASE WHEN hit THEN {_case('kind', SEVERITY)} ELSE 'None' END AS severity,
@@ -308,18 +308,18 @@ _EVENT = ["id", "prediction", "attack_type", "binary_probability", "binary_thres
           "multiclass_probability", "confidence", "severity", "recommended_action"]
 
 
-@query("two_stage_triage", sql("SELECT * FROM events0", "probs", **_triage_sql(0.8)))
+@query("two_stage_triage", sql("SELECT * EXCLUDE (record_index) FROM events0", "probs", **_triage_sql(0.8)))
 def _two_stage(spark, sf):
     return tr.triage(probs(spark, sf)).select(*_EVENT)
 
 
-@query("two_stage_bypass", sql("SELECT * FROM events0", "probs", **_triage_sql(0.8)))
+@query("two_stage_bypass", sql("SELECT * EXCLUDE (record_index) FROM events0", "probs", **_triage_sql(0.8)))
 def _two_stage_bypass(spark, sf):
     staged = probs(spark, sf).withColumnRenamed("probs", "_model")
     return tr.triage_with_bypass(staged, lambda rows: rows.withColumn("probs", F.col("_model"))).select(*_EVENT)
 
 
-@query("triage_override", sql("SELECT * FROM events0", "probs", **_triage_sql(0.6)))
+@query("triage_override", sql("SELECT * EXCLUDE (record_index) FROM events0", "probs", **_triage_sql(0.6)))
 def _triage_override(spark, sf):
     return tr.triage(probs(spark, sf), threshold=0.6).select(*_EVENT)
 

@@ -95,7 +95,7 @@ def _detect(spark, sf):
     """Trained two-stage detector over the test split."""
     fitted, train, _ = _prepared(spark, sf)
     detector = pl.Detector(fitted, mo.train_boosted(train, params=_GBT), mo.train_forest(train, "y", multiclass=True, params=_RF), CLASSES)
-    events = detector.detect(with_record_index(splits(spark, sf)[1], ["id"]), "run", ["id"])
+    events = detector.detect(with_record_index(splits(spark, sf)[1], ["id", "spkts", "sbytes"]), "run")
     assert not set(events.columns) & set(FORBIDDEN_FIELDS)
     return events.groupBy("prediction", "severity").agg(F.count("*").alias("n_events"))
 

@@ -27,13 +27,14 @@ def _events_stream(spark, sf):
 
 
 def _replay(spark, sf):
-    records = with_record_index(probs(spark, sf), ["id"])
+    """Every record keeps its own event, also where two records share an id."""
+    records = with_record_index(probs(spark, sf), ["id", "spkts", "sbytes", "rate", "dur"])
     stream = _staged(spark, records, "replay")
-    return st.replay(stream, lambda rows: rows, "run-1", [*FEATURES, "p", "probs"], keys=["id"])
+    return st.replay(stream, lambda rows: rows, "run-1", [*FEATURES, "p", "probs"])
 
 
 _REPLAYED = """
-SELECT sha256('run-1|' || id) AS event_id, row_number() OVER (ORDER BY id) - 1 AS record_index, prediction, attack_type,
+SELECT sha256('run-1|' || record_index) AS event_id, record_index, prediction, attack_type,
        binary_probability, binary_threshold, binary_confidence, multiclass_probability, confidence, severity, recommended_action
 FROM events0"""
 
