@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from flowsieve import MODEL_VERSION
@@ -29,8 +29,6 @@ def profile_splits(train: DataFrame, test: DataFrame, id_column: str = "id") ->
 
 def clean_to(df: DataFrame, path: str) -> int:
     """Clean a split into Parquet; fails if the row count changes."""
-    from pyspark.sql import Observation
-
     seen = Observation()
     source = df.observe(seen, F.count("*").alias("n"))
     written = writers.write_table(cleaning.clean_split(source), path)
@@ -213,3 +211,31 @@ class Detector:
         return spark.createDataFrame([row], (
             "model_version string, binary_model string, multi_model string, binary_threshold double, "
             "n_features int, n_classes int, classes array<string>"))
+
+
+def save_detector(detector: Detector, path: str) -> None:
+    """Feature pipeline, both models and their metadata."""
+    spark = SparkSession.active()
+    detector.features.model.write().overwrite().save(f"{path}/features")
+    models.save_model(detector.binary, f"{path}/binary")
+    models.save_model(detector.multi, f"{path}/multi")
+    features = detector.features
+    about = {
+        "selected_threshold": detector.threshold, "classes": detector.classes, "binary": detector.binary.kind,
+        "multi": detector.multi.kind, "binary_input": detector.binary.features, "multi_input": detector.multi.features,
+        "names": features.names, "numeric": features.numeric, "categorical": features.categorical,
+    }
+    spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
+
+
+def load_detector(spark: SparkSession, path: str, threshold: float | None = None) -> Detector:
+    """A detector written by :func:`save_detector`; a missing one is an error."""
+    readers.require_path(spark, path)
+    about = json.loads(spark.read.text(f"{path}/about").first()["value"])
+    features = FittedFeatures(
+        models.load_model("pipeline", f"{path}/features"), about["names"], about["numeric"], about["categorical"])
+    multi_loader = "multi_boosted_trees" if about["multi"] == "boosted_trees" else about["multi"]
+    binary = models.TrainedModel(about["binary"], models.load_model(about["binary"], f"{path}/binary"), about["binary_input"], 0.0)
+    multi = models.TrainedModel(about["multi"], models.load_model(multi_loader, f"{path}/multi"), about["multi_input"], 0.0)
+    mark = about["selected_threshold"] if threshold is None else threshold
+    return Detector(features, binary, multi, about["classes"], mark)

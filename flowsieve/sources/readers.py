@@ -25,6 +25,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def readiness(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """Which named artefacts are in place."""
+    return spark.createDataFrame([(n, exists(spark, p)) for n, p in paths.items()], "artefact string, present boolean")
+
+
 def require_path(spark: SparkSession, path: str) -> None:
     if not exists(spark, path):
         raise FileNotFoundError(path)

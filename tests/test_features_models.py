@@ -198,6 +198,20 @@ def test_detector_events_are_repeatable_and_clean(ready, train):
     assert high.filter("prediction = 'Attack'").count() == 0
 
 
+def test_saved_detector_gives_the_same_events(ready, train, tmp_path):
+    fitted, df = ready
+    detector = pl.Detector(fitted, mo.train_boosted(df, params=SMALL["boosted_trees"]),
+                           mo.train_multi_boosted(df, "y", 3, params=SMALL["boosted_trees"]), ["DoS", "Normal", "Worms"], 0.6)
+    pl.save_detector(detector, str(tmp_path / "d"))
+    again = pl.load_detector(df.sparkSession, str(tmp_path / "d"))
+    records = train.withColumn("record_index", F.col("id"))
+    columns = ["event_id", "attack_type", "binary_probability", "multiclass_probability", "severity"]
+    a, b = (sorted(map(str, d.detect(records, "r").select(columns).collect())) for d in (detector, again))
+    assert a == b and again.threshold == 0.6
+    with pytest.raises(FileNotFoundError):
+        pl.load_detector(df.sparkSession, str(tmp_path / "none"))
+
+
 def test_permutation_importance_ranks_the_informative_feature(ready, train):
     fitted, df = ready
     model = mo.train_forest(df, params=SMALL["random_forest"])

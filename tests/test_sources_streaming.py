@@ -71,6 +71,16 @@ def test_threshold_metadata(spark, tmp_path):
     assert readers.read_threshold(spark, str(path)) == 0.8
 
 
+def test_readiness_metrics_and_nan(spark, tmp_path):
+    metrics = spark.createDataFrame([("a", 1.0), ("b", None)], "model string, f1 double")
+    writers.write_metrics(metrics, str(tmp_path / "m"))
+    assert spark.read.json(str(tmp_path / "m" / "json")).count() == spark.read.csv(str(tmp_path / "m" / "csv"), header=True).count() == 2
+    ready = {r[0]: r[1] for r in readers.readiness(spark, {"m": str(tmp_path / "m"), "x": str(tmp_path / "x")}).collect()}
+    assert ready == {"m": True, "x": False}
+    df = spark.createDataFrame([(float("nan"),), (1.0,), (None,)], "v double")
+    assert readers.nan_to_null(df).filter("v is null").count() == 2
+
+
 def test_manifest(spark, tmp_path):
     (tmp_path / "x.bin").write_bytes(b"hello")
     row = readers.file_manifest(spark, str(tmp_path)).first()
