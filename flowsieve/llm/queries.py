@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsieve.llm import byte_bpe, quality_rules, sharding, token_counts, url_filter
+from flowsieve.llm import byte_bpe, line_dedup, quality_rules, recompression, sharding, simhash, token_counts, url_filter
 from flowsieve.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,8 +26,6 @@ URL_RULES = [
 BYTE_RANKS, PIECES = "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model"
 SHARDS = 16
 
-# Blanks of the contracts inside a DuckDB regular expression.
-_BLANK = r"[\x20\x09-\x0D]"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -64,17 +62,6 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_RANKS))
 
 
-def _hash52(*parts: str) -> str:
-    return f"CAST('0x' || substr(md5({' || chr(58) || '.join(f'CAST({p} AS VARCHAR)' for p in parts)}), 1, 13) AS BIGINT)"
-
-
-def _least(shards: int) -> str:
-    """The shard with the least -ln(u) is the one with the largest hash, of equal ones the lowest."""
-    return f"(SELECT i FROM (SELECT i, {_hash52('doc_id', 'i')} AS h FROM range({shards}) t(i)) ORDER BY h DESC, i LIMIT 1)"
-
-
-# Null texts count as empty; CRC-32 by its bitwise definition would not be readable SQL, so the
-# oracle takes the checksum's column from a table-driven list over the bytes of the text.
 @register("op4_rendezvous_shards")
 def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
@@ -85,7 +72,44 @@ def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.number_slots(placed, ["doc_id", "text_crc32", "size"], SHARDS)
 
 
-@register("op6_quality_rules")
+def _quality_sql() -> str:
+    """Counts by unnested words, lines and windows; the exact binomial tail by log-gamma."""
+    share = quality_rules.RISK / len(quality_rules.RULES)
+    rows = ", ".join(
+        f"('{rule}', {c})" for rule, cutoffs in quality_rules.CUTOFFS.items() for c in cutoffs
+    )
+    hit = " OR ".join(
+        f"(rule = '{rule}' AND ({top} * 1000 - cutoff * {bottom}) * {way} > 0)" for rule, (top, bottom, way) in quality_rules.RULES.items()
+    )
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws FROM d),
+win AS (SELECT doc_id, i, [ws[i], ws[i + 1], ws[i + 2]] AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+rep AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+cov AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM rep, range(3) t(k) GROUP BY doc_id),
+ln AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+lc AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM ln WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
+f AS (SELECT doc_id, lang, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+             length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+             coalesce(cov.n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+      FROM d JOIN w USING (doc_id) LEFT JOIN cov USING (doc_id) LEFT JOIN lc USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f),
+rules(rule, cutoff) AS (VALUES {rows}),
+truth AS (SELECT doc_id, max(quality) AS q FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+tests AS (SELECT lang, rule, cutoff, count(*) FILTER (q = 1) AS n, count(*) FILTER (q = 1 AND ({hit})) AS k, count(*) FILTER (q <> 1 AND ({hit})) AS caught
+          FROM b JOIN truth USING (doc_id), rules WHERE NOT base_failed GROUP BY ALL),
+tails AS (SELECT lang, rule, cutoff, k, caught, any_value(n) AS n,
+                 sum(exp(lgamma(n + 1) - CASE WHEN i > 0 THEN lgamma(i + 1) ELSE 0 END - CASE WHEN n > i THEN lgamma(n - i + 1) ELSE 0 END + i * ln({share}) + (n - i) * ln(1 - {share}))) AS tail
+          FROM (SELECT *, unnest(range(0, k + 1)) AS i FROM tests WHERE k < n * {share} AND caught > k) GROUP BY lang, rule, cutoff, k, caught),
+best AS (SELECT lang, rule, cutoff FROM tails WHERE tail <= {quality_rules.DELTA} / (SELECT greatest(count(*), 1) FROM tests)
+         QUALIFY row_number() OVER (PARTITION BY lang, rule ORDER BY caught - k DESC, CASE WHEN rule = 'short_words' THEN cutoff ELSE -cutoff END) = 1),
+bad AS (SELECT DISTINCT doc_id FROM b JOIN best USING (lang) WHERE {hit})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM b
+"""
+
+
+@register("op6_quality_rules", _quality_sql())
 def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     features, cutoffs = quality_rules.calibrate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     judged = quality_rules.with_verdict(features, cutoffs, "lang")
@@ -95,3 +119,36 @@ def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_token_counts")
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
+@register("op7_simhash_components")
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components_of(table(spark, sf_dir, "documents"))
+
+
+@register("op8_line_dedup", f"""
+WITH l AS (SELECT doc_id, i, ls[i] AS line, translate(trim(ls[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') AS key
+           FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))),
+hot AS (SELECT key, max(doc_id) AS last FROM l WHERE length(key) >= {line_dedup.MIN_CHARS} GROUP BY key HAVING count(DISTINCT doc_id) >= {line_dedup.MIN_DOCS}),
+j AS (SELECT doc_id, i, line, coalesce(last = doc_id, true) AS stays FROM l LEFT JOIN hot USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (stays), '')) AS kept_sha256 FROM j GROUP BY doc_id
+""")
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@register("op10_recompression", r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 19], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM w)),
+later AS (SELECT doc_id, i FROM win QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM later, range(20) t(k)),
+word AS (SELECT doc_id, i, ws[i] AS word FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w)),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+""")
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = recompression.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
