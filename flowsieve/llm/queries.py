@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsieve.llm import byte_bpe, line_dedup, quality_rules, recompression, sharding, simhash, token_counts, url_filter
+import corpus_pipeline
+from flowsieve.llm import (
+    byte_bpe, decontamination, line_dedup, maxent, quality_rules, recompression, sharding, simhash, token_counts, url_filter,
+)
 from flowsieve.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +65,11 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_RANKS))
 
 
+@register("op3_maxent_scores")
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score_texts(table(spark, sf_dir, "documents"))
+
+
 @register("op4_rendezvous_shards")
 def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
@@ -72,6 +80,11 @@ def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.number_slots(placed, ["doc_id", "text_crc32", "size"], SHARDS)
 
 
+@register("op5_decontamination")
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def _quality_sql() -> str:
     """Counts by unnested words, lines and windows; the exact binomial tail by log-gamma."""
     share = quality_rules.RISK / len(quality_rules.RULES)
@@ -152,3 +165,6 @@ FROM w LEFT JOIN kept USING (doc_id)
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = recompression.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
