@@ -89,6 +89,7 @@ class Reader:
         before = np.concatenate([[STOP], kinds[:-1]])[: len(kinds)]
         kinds = np.where((kinds == NAME) & (before == STOP), LITERAL, kinds)  # a capital that only opens a sentence
         kinds = np.where((kinds == UNIT) & (before != NUMBER), LITERAL, np.where(kinds == SIGN, UNIT, kinds))
+        before = np.concatenate([[STOP], kinds[:-1]])[: len(kinds)]
         stay = (kinds != STOP) & ~((kinds == NAME) & (before == NAME))  # a name of several words is one slot
         group = np.cumsum(stay) - 1
         name = (kinds == NAME) & (group >= 0)
@@ -185,8 +186,17 @@ def leaks(got: Template, items: Items, similarity: float = SIMILARITY) -> list[t
 
 
 def _slots(got: Template, item: Template, own: np.ndarray, here: np.ndarray, size: int) -> tuple[int, int, bool]:
-    """Slots under the matched windows, how many hold the item's own value, and whether values map one to one."""
-    pairs = np.unique(np.stack([(own[:, None] + np.arange(size)).ravel(), (here[:, None] + np.arange(size)).ravel()], 1), axis=0)
+    """Slots under the match, how many hold the item's own value, and whether values map one to one.
+
+    The match is the matched windows and what lies between those of the main shift.
+    """
+    shifts, times = np.unique(here - own, return_counts=True)
+    main = shifts[times.argmax()]
+    inside = own[here - own == main]
+    span = np.arange(inside.min(), inside.max() + size)
+    left = np.concatenate([(own[:, None] + np.arange(size)).ravel(), span])
+    right = np.concatenate([(here[:, None] + np.arange(size)).ravel(), span + main])
+    pairs = np.unique(np.stack([left, right], 1), axis=0)
     pairs = pairs[item.kinds[pairs[:, 0]] != LITERAL]
     if not len(pairs):
         return 0, 0, True
