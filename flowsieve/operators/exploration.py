@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Sequence
 
 import numpy as np
@@ -15,7 +14,6 @@ from flowsieve.functions.scale import tagged_counts
 from flowsieve.operators.quantiles import exact_quantiles
 from flowsieve.schemas import RARE_CATEGORIES
 
-WIDE_COLUMNS = 10
 NOISE = 1e-10  # a deviation below this share of the mean is rounding noise: the column is constant
 
 
@@ -144,68 +142,48 @@ def numeric_describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson r of every column pair over rows where both are present.
+    """Pearson r of every column pair over the rows where both are present.
 
-    One scan in either form. Few columns use one aggregate with three terms per
-    pair. The terms grow with the square of the columns, so wider tables sum
-    matrix products per task instead. A constant column gives null.
-    """
-    return _pair_aggregates(df, columns) if len(columns) <= WIDE_COLUMNS else _pair_products(df, columns)
-
-
-def _pair_aggregates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    values = df.select(*[_present(df, c).alias(f"v{i}") for i, c in enumerate(columns)])
-    aggregates, rows = [], []
-    for n, (i, j) in enumerate(itertools.combinations(range(len(columns)), 2)):
-        x, y = F.col(f"v{i}"), F.col(f"v{j}")
-        x_both, y_both = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-        aggregates += [
-            F.covar_pop(x, y).alias(f"c{n}"), F.stddev_pop(x_both).alias(f"x{n}"), F.stddev_pop(y_both).alias(f"y{n}"),
-            F.avg(x_both).alias(f"mx{n}"), F.avg(y_both).alias(f"my{n}"),
-        ]
-        moving = (F.col(f"x{n}") > F.abs(f"mx{n}") * NOISE) & (F.col(f"y{n}") > F.abs(f"my{n}") * NOISE)
-        r = F.when(moving, F.col(f"c{n}") / (F.col(f"x{n}") * F.col(f"y{n}")))
-        rows.append(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(columns[i]).alias("feature_1"),
-                             F.lit(columns[j]).alias("feature_2"), r.alias("r")))
-    return values.agg(*aggregates).select(F.inline(F.array(*rows)))
-
-
-def _pair_products(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per-task products of the centred columns and their presence masks, summed per pair.
-
-    Columns are centred on their mean and scaled by their deviation first, so
-    the sums keep their precision; values a hair apart count as constant.
+    One scan, at any number of columns: each task sums matrix products, with
+    every value taken from the column's middle of the first batch, so that
+    outliers in other pairs do not cost precision. Task sums are merged by
+    their means. A pair with a column that is constant over its rows gives null.
     """
     k = len(columns)
     names = [f"v{i}" for i in range(k)]
     values = df.select(*[_present(df, c).alias(n) for c, n in zip(columns, names, strict=True)])
-    row = values.agg(*[f(n).alias(f"{a}{n}") for n in names for a, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
-    centre = [row[f"m{n}"] or 0.0 for n in names]
-    spread = [s if (s := row[f"s{n}"] or 0.0) > abs(m) * NOISE else 1.0 for n, m in zip(names, centre, strict=True)]
+    parts = ("n", "mx", "my", "vx", "vy", "cxy")
+    schema = "i int, j int, " + ", ".join(f"{c} double" for c in parts)
 
     def products(batches):
-        sums = np.zeros((6, k, k))
+        i, j = np.triu_indices(k, 1)
         for batch in batches:
             x = batch.to_numpy(dtype="float64", na_value=np.nan)
-            here = (~np.isnan(x)).astype("float64")
-            z = np.where(here > 0, (x - centre) / spread, 0.0)
-            by_row, squares = z.T @ here, (z * z).T @ here
-            sums += np.stack([here.T @ here, by_row, by_row.T, squares, squares.T, z.T @ z])
-        i, j = np.triu_indices(k, 1)
-        yield pd.DataFrame({"i": i, "j": j, **{n: sums[a][i, j] for a, n in enumerate(("n", "sx", "sy", "sxx", "syy", "sxy"))}})
-
-    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
-    totals = values.mapInPandas(products, schema).groupBy("i", "j").agg(
-        *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
-    n = F.col("n")
-    var_x = F.col("sxx") / n - (F.col("sx") / n) ** 2
-    var_y = F.col("syy") / n - (F.col("sy") / n) ** 2
-    cov = F.col("sxy") / n - F.col("sx") / n * (F.col("sy") / n)
-    spread_out = (n > 0) & (var_x > 1e-12) & (var_y > 1e-12)
+            here = ~np.isnan(x)
+            centre = np.array([np.median(x[here[:, c], c]) if here[:, c].any() else 0.0 for c in range(k)])
+            z = np.where(here, x - centre, 0.0)
+            mask = here.astype("float64")
+            n = mask.T @ mask
+            some = np.maximum(n, 1)
+            mean = (z.T @ mask) / some  # of column i over the rows that column j shares with it
+            spread = np.maximum((z * z).T @ mask - some * mean * mean, 0.0)
+            cross = z.T @ z - some * mean * mean.T
+            out = (n, mean + centre[:, None], mean.T + centre[None, :], spread, spread.T, cross)
+            yield pd.DataFrame({"i": i, "j": j, **{c: v[i, j] for c, v in zip(parts, out, strict=True)}})
+
+    sums = values.mapInPandas(products, schema)
+    pair = Window.partitionBy("i", "j")
+    total = F.sum("n").over(pair)
+    centred = sums.withColumns({"gx": F.try_divide(F.sum(F.col("n") * F.col("mx")).over(pair), total), "gy": F.try_divide(F.sum(F.col("n") * F.col("my")).over(pair), total)})
+    dx, dy, n = F.col("mx") - F.col("gx"), F.col("my") - F.col("gy"), F.col("n")
+    merged = centred.groupBy("i", "j").agg(
+        F.sum("n").alias("n"), F.first("gx").alias("gx"), F.first("gy").alias("gy"), F.sum(F.col("vx") + n * dx * dx).alias("vx"),
+        F.sum(F.col("vy") + n * dy * dy).alias("vy"), F.sum(F.col("cxy") + n * dx * dy).alias("cxy"))
+    moves = [F.sqrt(F.try_divide(F.col(v), F.col("n"))) > F.abs(F.col(m)) * NOISE for v, m in (("vx", "gx"), ("vy", "gy"))]
     label = literal_array(columns)
-    return totals.select(
+    return merged.select(
         "i", "j", F.element_at(label, F.col("i") + 1).alias("feature_1"), F.element_at(label, F.col("j") + 1).alias("feature_2"),
-        F.when(spread_out, cov / F.sqrt(var_x * var_y)).alias("r"))
+        F.when(moves[0] & moves[1], F.col("cxy") / F.sqrt(F.col("vx") * F.col("vy"))).alias("r"))
 
 
 def corr_pairs(df: DataFrame, columns: Sequence[str], threshold: float = 0.90) -> DataFrame:

@@ -138,9 +138,11 @@ def ranked_scores(scores: DataFrame, y: str = "y", p: str = "p", by: Sequence[st
     """One row per distinct score with running positive and negative counts.
 
     Counting per distinct score first makes ties exact and shrinks the data
-    before anything is ordered.
+    before anything is ordered. A NaN score is never an attack, so it ranks
+    below all others, as a missing one does.
     """
-    per_score = scores.groupBy(*by, F.col(p).alias("score")).agg(
+    known = F.nanvl(F.col(p).cast("double"), F.lit(None).cast("double"))
+    per_score = scores.groupBy(*by, known.alias("score")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")
     )
     return running_totals(per_score, by, [F.desc("score")], ["pos", "neg"])

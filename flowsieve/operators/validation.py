@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowsieve.functions.scalars import round_to
+from flowsieve.functions.scalars import round_to, strip_text
 from flowsieve.schemas import CATEGORICAL_FEATURES, FORBIDDEN_FIELDS, NUMERIC_FEATURES, OUTPUT_FIELDS
 
 REASONS = "reject_reasons"
@@ -56,16 +56,20 @@ def as_numbers(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
 def validate_domain(
     df: DataFrame, ports: Sequence[str] = ("sport", "dsport"),
     non_negative: Sequence[str] = ("dur", "sbytes", "dbytes", "spkts", "dpkts"),
-    label: str = "label", proto: str = "proto", required: Sequence[str] = (),
+    label: str = "label", proto: str = "proto",
+    required: Sequence[str] = ("proto", "dur", "sbytes", "dbytes", "spkts", "dpkts"),
 ) -> DataFrame:
-    """Flow-record domain rules; the protocol is lower-cased and stripped."""
+    """Flow-record domain rules; the protocol is lower-cased and stripped of all blanks.
+
+    A null in a required column that the table has is a breach.
+    """
     rules = {f"missing:{c}": F.col(c).isNull() for c in required if c in df.columns}
     rules |= {f"port:{c}": ~F.col(c).between(0, 65535) for c in ports if c in df.columns}
     rules |= {f"negative:{c}": F.col(c) < 0 for c in non_negative if c in df.columns}
     if label in df.columns:
         rules[f"label:{label}"] = ~F.col(label).between(0, 1)
     out = df.withColumn(REASONS, reasons(rules))
-    return out.withColumn(proto, F.lower(F.trim(F.col(proto)))) if proto in df.columns else out
+    return out.withColumn(proto, F.lower(strip_text(F.col(proto)))) if proto in df.columns else out
 
 
 def validate_probabilities(df: DataFrame, columns: Sequence[str], digits: int = 4) -> DataFrame:

@@ -29,7 +29,8 @@ _CSV_SCHEMA = T.StructType(
 @query("scan_csv", sql(f"SELECT {', '.join(f.name for f in _CSV_SCHEMA.fields)} FROM flows", "flows"))
 def _scan_csv(spark, sf):
     path = scratch_path(spark, "csv")
-    flows(spark, sf).select(*[f.name for f in _CSV_SCHEMA.fields]).write.csv(path, header=True)
+    # The file has its own column order; columns are found by their header names.
+    flows(spark, sf).select(*[f.name for f in reversed(_CSV_SCHEMA.fields)]).write.csv(path, header=True)
     return readers.read_csv(spark, path, _CSV_SCHEMA)
 
 

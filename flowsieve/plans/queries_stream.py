@@ -54,11 +54,24 @@ def _replay_sink(spark, sf):
     for fmt, read in (("jsonl", spark.read.json), ("csv", lambda p: spark.read.csv(p, header=True))):
         path = scratch_path(spark, fmt)
         st.drain(st.start(events, fmt, path, f"{path}-checkpoint"))
-        part = read(f"{path}/batch=*").select(F.lit(fmt).alias("fmt"), "prediction", "severity")
+        part = read(f"{path}/run=*/batch=*").select(F.lit(fmt).alias("fmt"), "prediction", "severity")
         out = part if out is None else out.unionByName(part)
     return out.groupBy("fmt", "prediction", "severity").agg(F.count("*").alias("n_events"))
 
 
+@query("upsert_two_runs", sql("""
+SELECT event_id, record_index, CASE WHEN record_index % 3 = 0 THEN 0.5 ELSE 0.8 END AS binary_threshold
+FROM events0 WHERE record_index % 2 = 0 OR record_index % 3 = 0""".replace("event_id", "sha256('run-1|' || record_index) AS event_id", 1), "probs", **_triage_sql(0.8)))
+def _upsert_two_runs(spark, sf):
+    """Two replays with new checkpoints into one table: both stay, and the later one wins where ids meet."""
+    records, path = with_record_index(probs(spark, sf), ["id", "spkts", "sbytes", "rate", "dur"]), scratch_path(spark, "two-runs")
+    for run, (step, threshold) in enumerate(((2, 0.8), (3, 0.5))):
+        stream = _staged(spark, records.filter(F.col("record_index") % step == 0), f"run{run}", files=2)
+        events = st.replay(stream, lambda rows: rows, "run-1", [*FEATURES, "p", "probs"], threshold=threshold)
+        st.drain(st.start(events, "table", path, f"{path}-checkpoint{run}"))
+    return read_events(spark, path).select("event_id", "record_index", "binary_threshold")
+
+
 @query("stream_summary", sql("SELECT total, normal, attacks, critical, round(avg_confidence, 6) AS avg_confidence, risk_level FROM s", "alerts", s=_SUMMARY))
 def _stream_summary(spark, sf):
     path = scratch_path(spark, "summary")
@@ -95,4 +108,4 @@ def _stream_quarantine(spark, sf):
     checked = va.validate_rows(_staged(spark, _text_rows(spark, sf), "text"), ["spkts", "sttl"], required=["sttl"])
     st.drain(st.quarantine_batches(checked, f"{path}/good", f"{path}/bad", f"{path}-checkpoint"))
     good = st.read_batches(spark, f"{path}/good").agg(F.lit("accepted").alias("reason"), F.count("*").alias("n_rows"))
-    return st.read_batches(spark, f"{path}/bad").groupBy("reason").agg(F.sum("n_rows").alias("n_rows")).unionByName(good)
+    return va.quarantine_counts(st.read_batches(spark, f"{path}/bad")).unionByName(good)

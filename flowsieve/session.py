@@ -15,6 +15,7 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # checkpoints go with the frames that use them
 }
 
 
@@ -37,13 +38,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared checkpoint folder of the session.
 
     The cluster's ``spark.checkpoint.dir`` wins. A temporary folder is used
-    only for a local master; elsewhere a missing setting is an error, since
+    only for a single-process local master; elsewhere a missing setting is an error, since
     executors must be able to read what other executors wrote.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured is None and not context.master.startswith("local"):
+        single = context.master == "local" or context.master.startswith("local[")
+        if configured is None and not single:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="flowsieve-"))
     return context.getCheckpointDir()

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowsieve.functions.scalars import floating_columns
-from flowsieve.functions.scale import global_row_number
+from flowsieve.functions.scale import global_row_number, materialize
 from flowsieve.schemas import FLOW_SCHEMA, OPERATIONAL_THRESHOLD
 
 # The tokens a data-frame CSV reader takes as missing.
@@ -36,13 +37,13 @@ def require_path(spark: SparkSession, path: str) -> None:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = FLOW_SCHEMA, mode: str = "FAILFAST") -> DataFrame:
-    """CSV with a header and a declared schema: no inference pass over the data.
+    """CSV with a header and declared types: no inference pass over the data.
 
+    Columns are taken by their header names, in any order; others are left out.
     Missing-value tokens become null; ``-`` is a value of its own.
     """
     require_path(spark, path)
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = spark.read.schema(as_text).csv(path, header=True, mode=mode, enforceSchema=False)
+    raw = spark.read.csv(path, header=True, mode=mode, enforceSchema=False)
 
     def typed(f: T.StructField) -> Column:
         value = F.when(~F.col(f.name).isin(*MISSING_TOKENS), F.col(f.name))
@@ -64,16 +65,6 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a table of few files over the session's cores.
-
-    A file with one row group is read by one task, which would then do all the
-    row-wise work too. Tables with more files than cores are left as they lie.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def nan_to_null(df: DataFrame) -> DataFrame:
     """One missing notion: NaN becomes null."""
     return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in floating_columns(df)})
@@ -114,20 +105,28 @@ def read_threshold(spark: SparkSession, path: str, default: float = OPERATIONAL_
 
 
 def read_csv_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Metric CSV; a missing or unreadable file yields no rows."""
+    """Metric CSV, whole or not at all: a missing file, a short row or a bad cell yields no rows.
+
+    The file is read once, into the shared scratch folder, so a fault shows here.
+    """
     try:
-        return read_csv(spark, path, schema, mode="DROPMALFORMED")
-    except (FileNotFoundError, AnalysisException):
+        return materialize(read_csv(spark, path, schema))
+    except (FileNotFoundError, PySparkException, Py4JJavaError):
         return spark.createDataFrame([], schema)
 
 
-def file_manifest(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Name, size and SHA-256 per file, hashed where the file is read."""
+def file_manifest(spark: SparkSession, path: str, pattern: str = "*", hash_bytes: int = 1 << 30) -> DataFrame:
+    """Name, size and SHA-256 per file, hashed where the file is read.
+
+    A file is one cell in Spark, so files above ``hash_bytes`` get a null hash;
+    they are listed all the same.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
-    return files.select(
+    small, large = files.filter(F.col("length") <= hash_bytes), files.filter(F.col("length") > hash_bytes)
+    hashed = small.withColumn("sha256", F.sha2("content", 256)).drop("content")
+    return hashed.unionByName(large.drop("content").withColumn("sha256", F.lit(None).cast("string"))).select(
         F.element_at(F.split("path", "/"), -1).alias("file_name"), "path",
-        F.col("length").alias("size_bytes"), F.round(F.col("length") / (1024 * 1024), 2).alias("size_mb"),
-        F.sha2("content", 256).alias("sha256"),
+        F.col("length").alias("size_bytes"), F.round(F.col("length") / (1024 * 1024), 2).alias("size_mb"), "sha256",
     )
 
 

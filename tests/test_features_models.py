@@ -97,19 +97,29 @@ def test_correlation_is_pairwise_complete_and_survives_constants(spark):
     assert [r["feature_1"] for r in ex.corr_pairs(df, ["a", "b", "c"]).collect()] == ["a"]
 
 
-def test_wide_and_narrow_correlations_agree(spark, monkeypatch):
+def test_correlation_of_a_pair_does_not_depend_on_other_columns(spark):
+    rows = [(float(i), 2.0 * i + (i % 3), float(i % 5)) for i in range(100)] + [(1e15 * (i + 1), None, 1.0) for i in range(20)]
+    df = spark.createDataFrame(rows, "x double, y double, z double").repartition(3)
+    wide = df.select("*", *[(F.col("z") * i + F.rand(i)).alias(f"w{i}") for i in range(12)])
+    pair = ex.correlations(df, ["x", "y"]).first()["r"]
+    also = ex.correlations(wide, wide.columns).filter("feature_1 = 'x' and feature_2 = 'y'").first()["r"]
+    want = np.corrcoef([r[0] for r in rows[:100]], [r[1] for r in rows[:100]])[0, 1]
+    assert pair == pytest.approx(want, abs=1e-9) and also == pytest.approx(want, abs=1e-9)
+
+
+def test_correlations_match_numpy(spark):
     rng = np.random.default_rng(1)
     values = rng.random((400, 5)) * [1, 1e9, 1, 1e-6, 0] + [0, 1e12, 5, 0, 3.3]
     rows = [tuple(None if rng.random() < 0.1 else float(v) for v in r) for r in values]
     df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double").repartition(4)
-    key = lambda out: {(r["feature_1"], r["feature_2"]): r["r"] for r in out.collect()}
-    narrow = key(ex.correlations(df, list("abcde")))
-    monkeypatch.setattr(ex, "WIDE_COLUMNS", 1)
-    wide = key(ex.correlations(df, list("abcde")))
-    assert narrow.keys() == wide.keys() and len(wide) == 10
-    for pair, r in narrow.items():
-        assert wide[pair] == (pytest.approx(r, abs=1e-9) if r is not None else None)
-        assert (r is None) == ("e" in pair)
+    got = {(r["feature_1"], r["feature_2"]): r["r"] for r in ex.correlations(df, list("abcde")).collect()}
+    assert len(got) == 10
+    table = np.array([[np.nan if v is None else v for v in r] for r in rows])
+    for (a, b), r in got.items():
+        both = table[:, ["abcde".index(a), "abcde".index(b)]]
+        both = both[~np.isnan(both).any(1)]
+        assert (r is None) == ("e" in (a, b))
+        assert r is None or r == pytest.approx(np.corrcoef(both.T)[0, 1], abs=1e-6)
 
 
 def test_selection_chain(train):

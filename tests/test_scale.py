@@ -170,6 +170,15 @@ def test_large_and_small_quota_paths_agree(spark, monkeypatch):
     assert windowed == {tuple(r) for r in sampling.sample_by_class(df, "cls", ["id"], quotas).collect()}
 
 
+def test_tied_ids_are_drawn_alike_at_any_quota(spark, monkeypatch):
+    """Rows that share ids at the cut are told apart by content, whatever other quotas are asked for."""
+    df = spark.createDataFrame([("a", i // 7, float(i)) for i in range(600)] + [("b", i, 0.0) for i in range(50)], "cls string, id int, v double")
+    alone = {tuple(r) for r in sampling.sample_by_class(df, "cls", ["id"], {"a": 150}).collect()}
+    monkeypatch.setattr(sampling, "WINDOW_QUOTA", 10)
+    both = {tuple(r) for r in sampling.sample_by_class(df, "cls", ["id"], {"a": 150, "b": 20}).collect() if r[0] == "a"}
+    assert alone == both and len(alone) == 150
+
+
 # ---- duplicates and overlap -------------------------------------------------
 
 

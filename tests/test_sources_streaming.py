@@ -124,6 +124,22 @@ def test_keyed_table_upserts_and_compacts(spark, tmp_path):
         writers.compact_events(spark, path, str(tmp_path / "t2"))
 
 
+@pytest.mark.parametrize("fmt", ["jsonl", "csv", "table"])
+def test_a_second_run_keeps_the_first(spark, tmp_path, fmt):
+    out = str(tmp_path / "out")
+    for run, keep in enumerate(("record_index < 30", "record_index >= 20")):
+        records = _records(spark).filter(keep)
+        events = _replayed(_stream(spark, tmp_path, records, name=f"in{run}")).withColumn("model_version", F.lit(str(run)))
+        st.drain(st.start(events, fmt, out, str(tmp_path / f"check{run}")))
+    if fmt == "table":
+        rows = writers.read_events(spark, out).collect()
+        assert len(rows) == 40 and {r["record_index"] for r in rows if r["model_version"] == "1"} == set(range(20, 40))
+        writers.sink("table")(_replayed(_records(spark)).filter("record_index = 3").withColumn("model_version", F.lit("2")), out)
+        assert writers.read_events(spark, out).filter("model_version = '2'").count() == 1
+    else:
+        assert spark.read.text(f"{out}/run=*/batch=*").filter("value not like 'event_id%'").count() == 50
+
+
 def test_session_export(spark, tmp_path):
     writers.export_session(_replayed(_records(spark)), str(tmp_path / "s"))
     summary = {r["metric"]: r["value"] for r in spark.read.csv(str(tmp_path / "s" / "summary"), header=True).collect()}
@@ -155,9 +171,9 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp_path, fmt):
     if fmt == "table":
         rows = writers.read_events(spark, out).collect()
     elif fmt == "jsonl":
-        rows = spark.read.json(f"{out}/batch=*").collect()
+        rows = spark.read.json(f"{out}/run=*/batch=*").collect()
     else:
-        rows = spark.read.csv(f"{out}/batch=*", header=True).collect()
+        rows = spark.read.csv(f"{out}/run=*/batch=*", header=True).collect()
     assert {r["event_id"]: r["attack_type"] for r in rows} == batch and len(rows) == 40
     assert not set(rows[0].asDict()) & set(FORBIDDEN_FIELDS)
 
@@ -207,7 +223,8 @@ def test_stream_quarantine(spark, tmp_path):
     checked = va.validate_rows(st.read_stream(spark, str(tmp_path / "in"), df.schema), ["dur"])
     st.drain(st.quarantine_batches(checked, str(tmp_path / "g"), str(tmp_path / "b"), str(tmp_path / "c")))
     assert [r["id"] for r in st.read_batches(spark, str(tmp_path / "g")).collect()] == [1]
-    assert st.read_batches(spark, str(tmp_path / "b")).first()["reason"] == "not_numeric:dur"
+    bad = st.read_batches(spark, str(tmp_path / "b")).first()
+    assert (bad["id"], bad["dur"], bad[va.REASONS]) == (2, "bad", ["not_numeric:dur"])
 
 
 def test_failed_stream_is_reported(spark, tmp_path):
