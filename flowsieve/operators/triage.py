@@ -86,7 +86,15 @@ def triage_lookup(events: DataFrame, dimension: DataFrame, key: str = "attack_ty
 
 
 def harmonize(events: DataFrame, threshold: float = OPERATIONAL_THRESHOLD) -> DataFrame:
-    """Fill the two spellings of each event field from one another, then the defaults."""
+    """Fill the two spellings of each event field from one another, then the defaults.
+
+    A missing event id becomes a random one and a missing time the current one,
+    where the table has such a column; store the result before reading it twice.
+    """
+    late = {"event_id": F.expr("uuid()"), "timestamp": F.current_timestamp()}
+    events = events.withColumns({
+        c: F.coalesce(F.col(c), v.cast(events.schema[c].dataType)) for c, v in late.items() if c in events.columns
+    })
     wanted = {
         "is_attack": "boolean", "prediction": "string", "attack_type": "string", "attack_category": "string",
         "binary_probability": "double", "binary_confidence": "double", "multiclass_probability": "double",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import json
+import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -76,10 +78,28 @@ def evaluate_binary_suite(
     suite: Mapping[str, models.TrainedModel], data: DataFrame, split: str, label: str = "label",
     threshold: float = 0.5,
 ) -> DataFrame:
-    """Comparison rows of a binary suite on one split, with composite scores."""
-    scored = models.score_suite(suite, data, label)
+    """Comparison rows of a binary suite on one split, with composite scores and scoring times.
+
+    Each model scores the split once; all metrics read the stored scores.
+    """
+    scored, times = _timed_scores(suite, data, label)
     rows = metrics.compare_binary(scored, ["model"], threshold)
-    return thresholds.select_binary_model(rows).withColumn("split", F.lit(split))
+    return thresholds.select_binary_model(rows).join(times, "model").withColumn("split", F.lit(split))
+
+
+def _timed_scores(
+    suite: Mapping[str, models.TrainedModel], data: DataFrame, label: str, multi: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """Stored scores of every model, and per model the seconds of scoring and microseconds per row."""
+    parts, rows = [], []
+    for name, trained in suite.items():
+        started = time.perf_counter()
+        part = materialize(models.score_suite({name: trained}, data, label, multi=multi))
+        seconds = time.perf_counter() - started
+        parts.append(part)
+        rows.append((name, seconds, seconds / max(part.count(), 1) * 1e6))
+    times = data.sparkSession.createDataFrame(rows, "model string, scoring_seconds double, micros_per_row double")
+    return functools.reduce(DataFrame.unionByName, parts), times
 
 
 def evaluate_multi_suite(
@@ -87,10 +107,11 @@ def evaluate_multi_suite(
     y: str = "y", class_universe: str = "seen", rare: Sequence[str] = tuple(RARE_CATEGORIES),
 ) -> DataFrame:
     """Comparison rows of a multiclass suite on one split, with composite scores."""
-    scored = metrics.with_prediction(models.score_suite(suite, data, y, multi=True))
+    scored, times = _timed_scores(suite, data, y, multi=True)
+    scored = metrics.with_prediction(scored)
     rows = metrics.compare_multi(scored, classes, ["model"], class_universe=class_universe)
     per_class = metrics.per_class_metrics(scored, classes, by=["model"])
-    return thresholds.select_multi_model(rows, per_class, rare).withColumn("split", F.lit(split))
+    return thresholds.select_multi_model(rows, per_class, rare).join(times, "model").withColumn("split", F.lit(split))
 
 
 def evaluate_one(trained: models.TrainedModel, data: DataFrame, label: str = "label", threshold: float = 0.5) -> DataFrame:
@@ -188,19 +209,26 @@ class Detector:
 
     def detect(
         self, records: DataFrame, run_id: str, keys: Sequence[str] = ("record_index",), threshold: float | None = None,
+        on_error: str = "fail",
     ) -> DataFrame:
-        """Alert events for records that carry a ``record_index``. Ground truth is dropped first."""
-        required = [*self.features.numeric, *self.features.categorical]
-        kept = list(dict.fromkeys([*keys, "record_index"]))
-        scored = self.score(validation.strip_ground_truth(records, required, kept))
+        """Alert events for records that carry a ``record_index``. Ground truth is dropped first.
+
+        Text that is no number stops the job or, with ``on_error="quarantine"``, drops the record.
+        """
+        scored = self.score(self._inputs(records, keys, on_error))
         mark = self.threshold if threshold is None else float(threshold)
         return triage.as_events(triage.triage(scored, self.classes, threshold=mark), run_id, keys=keys)
 
-    def detect_flagged(self, records: DataFrame, run_id: str, keys: Sequence[str] = ("record_index",)) -> DataFrame:
-        """As :meth:`detect`, running the second model on flagged rows only."""
+    def _inputs(self, records: DataFrame, keys: Sequence[str], on_error: str) -> DataFrame:
         required = [*self.features.numeric, *self.features.categorical]
         kept = list(dict.fromkeys([*keys, "record_index"]))
-        ready = self.features.transform(validation.strip_ground_truth(records, required, kept))
+        return validation.checked_numbers(validation.strip_ground_truth(records, required, kept), self.features.numeric, on_error)
+
+    def detect_flagged(
+        self, records: DataFrame, run_id: str, keys: Sequence[str] = ("record_index",), on_error: str = "fail",
+    ) -> DataFrame:
+        """As :meth:`detect`, running the second model on flagged rows only."""
+        ready = self.features.transform(self._inputs(records, keys, on_error))
         scored = materialize(self.binary.score_binary(ready))  # both branches read it
         staged = triage.triage_with_bypass(scored, self.multi.score_multi, self.classes, threshold=self.threshold)
         return triage.as_events(staged.drop("f_raw", "f_scaled"), run_id, keys=keys)
