@@ -259,7 +259,8 @@ def apply_drops(docs: DataFrame, drops: DataFrame, key: str, text: str, names: t
     kept_name, before_name, dropped_name = names
     lists, who = fresh(docs, "digests", "who")
     lost = drops.groupBy(F.col("doc").alias(who)).agg(F.collect_list("digest").alias(lists))
-    lost = save(lost, "line-drops")
+    # The list grows with the documents, so the texts meet it by a shuffle at every size.
+    lost = save(lost, "line-drops").hint("shuffle_merge")
     joined = docs.join(lost, docs[key].eqNullSafe(lost[who]), "left").drop(who)
     keep = [c for c in docs.columns if c != text and c not in names]
     schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField(kept_name, T.StringType()), T.StructField(before_name, T.LongType()), T.StructField(dropped_name, T.LongType())])
