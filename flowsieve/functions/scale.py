@@ -67,14 +67,18 @@ def running_totals(
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str, start: int = 0) -> DataFrame:
     """Consecutive row numbers in a total order, without a one-task window.
 
-    A random last range key spreads equal order keys over several ranges; it is
-    fixed by a checkpoint first, so a retried task sends a row the same way.
+    Rows with equal order keys follow the hash of their content, so the numbers
+    do not depend on the partitioning; only equal rows are interchangeable. A
+    random last range key spreads those over several ranges; it is fixed by a
+    checkpoint first, so a retried task sends a row the same way.
     """
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    keys = [*order, F.col("_content"), F.col("_salt")]
     ranged = materialize(
-        materialize(df.withColumn("_salt", F.rand(7)))
-        .repartitionByRange(*order, F.col("_salt"))
-        .sortWithinPartitions(*order, F.col("_salt"))
-        .drop("_salt")
+        materialize(df.withColumns({"_content": content, "_salt": F.rand(7)}))
+        .repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .drop("_salt", "_content")
     ).withColumn("_at", F.monotonically_increasing_id())
     numbered = ranged.withColumn("_range", F.shiftright("_at", 33))
     sizes = numbered.groupBy("_range").count()

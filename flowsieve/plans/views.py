@@ -78,14 +78,16 @@ def probs(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = [F.col("l_partkey").alias("_pk"), F.col("l_suppkey").alias("_sk")]
     base = _joined(spark, sf_dir).select(*_flow_columns(), *keys)
     base = base.withColumn("y", class_index(F.col("attack_cat"), CLASSES))
-    raw = {
-        f"_r{i}": (1 + (F.col("_pk") * (7 + i) + F.col("_sk") * i) % 97 + F.when(F.col("y") == i, 60).otherwise(0)).cast("double")
+    raw = F.array(*[
+        (1 + (F.col("_pk") * (7 + i) + F.col("_sk") * i) % 97 + F.when(F.col("y") == i, 60).otherwise(0)).cast("double")
         for i in range(len(CLASSES))
-    }
-    total = sum((F.col(c) for c in raw), F.lit(0.0))
-    shares = F.array(*[F.col(c) / F.col("_total") for c in raw])
-    ready = base.withColumns(raw).withColumn("_total", total).withColumn("probs", shares)
-    return ready.drop(*raw, "_total", "_pk", "_sk")
+    ])
+
+    def shares(values: Column) -> Column:
+        return F.transform(values, lambda v: v / F.aggregate(values, F.lit(0.0), lambda a, b: a + b))
+
+    # The array is bound once; spelled out per share it would outgrow the code a JVM method may hold.
+    return base.withColumn("probs", F.element_at(F.transform(F.array(raw), shares), 1)).drop("_pk", "_sk")
 
 
 def flows_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
