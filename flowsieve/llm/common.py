@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +51,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that the texts of each hold some ``size`` bytes, or are one longer text."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(lengths.astype(np.int64)) // size
+        cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1)) if len(part) else []
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            yield batch.slice(a, b - a)
+
+
 def frequent(counts: DataFrame, value: str, most: int) -> DataFrame:
     """Rows whose count reaches the lowest level at which at most ``most`` rows remain.
 

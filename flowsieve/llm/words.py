@@ -19,7 +19,7 @@ _BASE = (int(_RANDOM.integers(1 << 61, 1 << 62)) << 2 | 3) & (2**64 - 1)
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 #: Bytes of text scanned at once; a longer text is cut at blanks.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 
 class Words(NamedTuple):
