@@ -8,10 +8,11 @@ can differ in a round. Names are hashes, hence global without coordination; a
 run of one symbol keeps that symbol's name throughout, because naming its
 length would let words outside a passage decide about its inside.
 
-After r rounds a window of w words with w > 2 (2**r - 1) always keeps whole
-symbols in its middle, equal wherever the window occurs. The least of them is
-its anchor. Spark counts anchors over the corpus; only windows whose anchor is
-shared are then compared, by 96 bits, and all but the first occurrence go.
+After r rounds a window of w words keeps whole symbols in its middle, of
+w - 2 (2**r - 1) words at least, equal wherever the window occurs. A few
+neighbouring symbols there form a unit; the least unit is the window's anchor.
+Spark counts anchors over the corpus; only windows whose anchor is shared are
+then compared, by 96 bits, and all but the first occurrence go.
 """
 
 from __future__ import annotations
@@ -25,23 +26,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowsieve.llm.common import save
+from flowsieve.llm.common import slices
 from flowsieve.llm.words import mix, scan
 
 WINDOW = 20
 #: Text handled at once in a worker, and words of the corpus per bucket: both bound the memory of a task.
-BYTES_AT_ONCE, WORDS_PER_BUCKET = 4 << 20, 1 << 19
+BYTES_AT_ONCE, WORDS_PER_BUCKET = 2 << 20, 1 << 21
 #: Place of rows without an id in the order of documents: before all others.
 NO_ID = -(1 << 63)
 _DEALT = "bucket int, local boolean, data binary"
 
 
-def rounds_for(window: int) -> int:
-    """The most rounds after which every window still holds a symbol that all its occurrences share."""
+def rounds_for(window: int) -> tuple[int, int]:
+    """Rounds, and symbols in a unit: as many as the middle of every window holds, whose loss stays below a third."""
     r = 0
-    while 2 * ((1 << (r + 1)) - 1) < window:
+    while 6 * ((1 << (r + 1)) - 1) <= window:
         r += 1
-    return r
+    middle = window - 2 * ((1 << r) - 1)
+    return r, -(-middle // (1 << r))
 
 
 def parse(hashes: np.ndarray, offsets: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
@@ -64,9 +66,16 @@ def parse(hashes: np.ndarray, offsets: np.ndarray, rounds: int) -> tuple[np.ndar
     return names, starts
 
 
-def anchors(names: np.ndarray, starts: np.ndarray, offsets: np.ndarray, window: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """First words of all windows and the symbol that is each one's anchor: the least in its middle, the leftmost of equals."""
+def anchors(names: np.ndarray, starts: np.ndarray, offsets: np.ndarray, window: int, rounds: int, unit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names of the units, first words of all windows, and each one's anchor: the least unit in its middle, the leftmost of equals.
+
+    Unit i is named by the symbols i to i + unit - 1.
+    """
     words = int(offsets[-1])
+    units = np.zeros(max(0, len(names) - unit + 1), np.uint64)
+    for k in range(unit):
+        units = units * np.uint64(0x9E3779B97F4A7C15) + names[k : k + len(units)]
+    units = mix(units)
     begins = np.arange(max(0, words - window + 1))
     owner = np.zeros(words + 1, np.int64)
     np.add.at(owner, offsets[1:-1], 1)  # texts without words share an offset
@@ -76,14 +85,15 @@ def anchors(names: np.ndarray, starts: np.ndarray, offsets: np.ndarray, window:
     symbol = np.zeros(words, np.int64)
     symbol[starts[1:]] = 1
     symbol = np.cumsum(symbol)
-    best = symbol[begins + lost]
-    low = names[best]
-    for k in range(lost + 1, window - lost):
-        at = symbol[begins + k]
-        value = names[at]
+    best, last = symbol[begins + lost], symbol[begins + window - lost - 1] - unit + 1
+    low = units[best]
+    at = best.copy()
+    while (more := np.minimum(at + 1, last)).size and (more > at).any():
+        at = more
+        value = units[at]
         less = value < low
         best[less], low[less] = at[less], value[less]
-    return begins, best
+    return units, begins, best
 
 
 def window_hashes(hashes: np.ndarray, begins: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,7 +118,7 @@ def _unplane(raw: bytes, kind: type) -> np.ndarray:
 
 
 def _pack(names: np.ndarray, check: np.ndarray, doc: np.ndarray, mark: np.ndarray, place: np.ndarray) -> bytes:
-    return b"".join([np.int64(len(doc)).tobytes(), names.tobytes(), check.tobytes(), mark.tobytes(), _planes(doc), _planes(place)])
+    return b"".join([np.int64(len(doc)).tobytes(), names.tobytes(), check.tobytes(), _planes(mark), _planes(doc), _planes(place)])
 
 
 def _unpack(raw: bytes) -> tuple[np.ndarray, ...]:
@@ -117,19 +127,19 @@ def _unpack(raw: bytes) -> tuple[np.ndarray, ...]:
     part = [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     return (
         np.frombuffer(part[0], np.uint64), np.frombuffer(part[1], np.uint32), _unplane(part[3], np.int64),
-        np.frombuffer(part[2], np.uint32), _unplane(part[4], np.int32),
+        _unplane(part[2], np.uint32), _unplane(part[4], np.int32),
     )
 
 
-def _deal(buckets: int, own: tuple[np.ndarray, ...], local: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-    """Rows for the buckets by name, and one row with what is already settled here."""
-    names = own[0]
+def _deal(buckets: int, names: np.ndarray, own: tuple[np.ndarray, ...], local: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+    """Rows for the buckets by name of the anchor, and one row with what is already settled here."""
     bucket = (names % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
     rows = [(int(bucket[order[a]]), False, _pack(*[c[order[a:b]] for c in own])) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     if len(local[0]):
-        rows.append((int(local[0][0] % np.uint64(buckets)), True, _pack(*local)))
+        unnamed = (np.zeros_like(local[0]), np.zeros_like(local[1]))
+        rows.append((int(local[0][0] % np.uint64(buckets)), True, _pack(*unnamed, *local[2:])))
     return pa.RecordBatch.from_arrays(
         [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.bool_()), pa.array([r[2] for r in rows], pa.binary())],
         names=["bucket", "local", "data"],
@@ -138,25 +148,19 @@ def _deal(buckets: int, own: tuple[np.ndarray, ...], local: tuple[np.ndarray, ..
 
 def _groups(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Rows in groups of bounded text size, with the texts as bytes."""
-    for batch in batches:
-        start, raws, held = 0, [], 0
-        for i, row in enumerate(batch.column(text)):
-            raws.append((row.as_py() or "").encode())
-            held += len(raws[-1])
-            if held >= BYTES_AT_ONCE or i + 1 == batch.num_rows:
-                yield batch.slice(start, i + 1 - start), raws
-                start, raws, held = i + 1, [], 0
+    for rows in slices(batches, text, BYTES_AT_ONCE):
+        yield rows, [(row.as_py() or "").encode() for row in rows.column(text)]
 
 
 def _shared_anchors(docs: DataFrame, window: int, buckets: int) -> DataFrame:
     """(id, places): per document the first words of anchors that occur more than once in the corpus."""
-    rounds = rounds_for(window)
+    rounds, unit = rounds_for(window)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raws in _groups(batches, "text"):
             found = scan(raws)
             names, starts = parse(found.hashes, found.offsets, rounds)
-            _, best = anchors(names, starts, found.offsets, window, rounds)
+            names, _, best = anchors(names, starts, found.offsets, window, rounds, unit)
             used = np.zeros(len(names), bool)
             used[best] = True
             at = np.flatnonzero(used)
@@ -170,7 +174,7 @@ def _shared_anchors(docs: DataFrame, window: int, buckets: int) -> DataFrame:
             none = np.zeros(len(at), np.uint32)
             columns = (names[at], none, doc, none, place)
             one.sort()
-            yield _deal(buckets, tuple(c[one] for c in columns), tuple(c[again] for c in columns))
+            yield _deal(buckets, names[at[one]], tuple(c[one] for c in columns), tuple(c[again] for c in columns))
 
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for names, _, doc, _, place, local in _by_bucket(batches):
@@ -179,7 +183,7 @@ def _shared_anchors(docs: DataFrame, window: int, buckets: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(doc[keep]), pa.array(place[keep])], names=["id", "place"])
 
     dealt = docs.select("id", "text").mapInArrow(emit, _DEALT)
-    return _bucketed(dealt).mapInArrow(share, "id long, place int").groupBy("id").agg(F.collect_set("place").alias("places"))
+    return _bucketed(dealt).mapInArrow(share, "id long, place int").groupBy("id").agg(F.collect_list("place").alias("places"))
 
 
 def _bucketed(dealt: DataFrame) -> DataFrame:
@@ -207,20 +211,23 @@ def _merged(held: list[tuple]) -> tuple[np.ndarray, ...]:
 
 
 def _later_windows(marked: DataFrame, window: int, buckets: int) -> DataFrame:
-    """(id, mark, starts): windows with an equal one in an earlier document, or earlier in the same one."""
-    rounds = rounds_for(window)
+    """(id, later): ranges of first words of windows with an equal one in an earlier document, or earlier in the same one, by checksum of the text."""
+    rounds, unit = rounds_for(window)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raws in _groups(batches, "text"):
             found = scan(raws)
             names, starts = parse(found.hashes, found.offsets, rounds)
-            begins, best = anchors(names, starts, found.offsets, window, rounds)
+            units, begins, best = anchors(names, starts, found.offsets, window, rounds, unit)
             flagged = np.zeros(int(found.offsets[-1]) + 1, bool)
             places = rows.column("places")
             lengths = places.value_lengths().to_numpy(zero_copy_only=False)
             flat = places.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             flagged[np.minimum(flat + np.repeat(found.offsets[:-1], lengths), len(flagged) - 1)] = True
-            begins = begins[flagged[starts[best]]] if len(begins) else begins
+            if not len(begins):
+                continue
+            live = flagged[starts[best]]
+            begins, anchor = begins[live], units[best[live]]
             if not len(begins):
                 continue
             one, two = window_hashes(found.hashes, begins, window)
@@ -230,27 +237,25 @@ def _later_windows(marked: DataFrame, window: int, buckets: int) -> DataFrame:
             columns = (one, two, doc, mark, (begins - found.offsets[row]).astype(np.int32))
             order, lead, later = _firsts(*columns)
             own, gone = np.sort(order[lead]), np.sort(order[later])
-            yield _deal(buckets, tuple(c[own] for c in columns), tuple(c[gone] for c in columns))
+            yield _deal(buckets, anchor[own], tuple(c[own] for c in columns), tuple(c[gone] for c in columns))
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for *columns, local in _by_bucket(batches):
             rest = [c[~local] for c in columns]
             order, _, later = _firsts(*rest)
             doc, mark, place = (np.concatenate([c[local], r[order[later]]]) for c, r in zip(columns[2:], rest[2:], strict=True))
-            if not len(doc):
-                continue
             order = np.lexsort((place, mark, doc))
             doc, mark, place = doc[order], mark[order], place[order]
-            cuts = np.flatnonzero((np.diff(doc) != 0) | (np.diff(mark) != 0)) + 1
-            heads = np.concatenate([[0], cuts])
-            ends = pa.array(np.concatenate([heads, [len(doc)]]).astype(np.int32))
+            new = np.ones(len(doc) + 1, bool)  # a range ends where the next window does not follow
+            new[1:-1] = (np.diff(doc) != 0) | (np.diff(mark) != 0) | (np.diff(place) > 1)
+            heads, tails = np.flatnonzero(new[:-1]), np.flatnonzero(new[1:])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[heads]), pa.array(mark[heads].astype(np.int64)), pa.ListArray.from_arrays(ends, pa.array(place))], names=["id", "mark", "starts"],
+                [pa.array(doc[heads]), pa.array(mark[heads].astype(np.int64)), pa.array(place[heads]), pa.array(place[tails])], names=["id", "mark", "first", "last"],
             )
 
     dealt = marked.select("id", "text", "places").mapInArrow(emit, _DEALT)
-    found = _bucketed(dealt).mapInArrow(settle, "id long, mark long, starts array<int>")
-    return found.groupBy("id", "mark").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    found = _bucketed(dealt).mapInArrow(settle, "id long, mark long, first int, last int")
+    return found.groupBy("id").agg(F.collect_list(F.struct("mark", "first", "last")).alias("later"))
 
 
 def _firsts(one, two, doc, mark, place) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -274,21 +279,18 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     a window keeps them all. A null key comes before all others. Rows with equal
     keys do not precede each other at equal places. Keys must be whole numbers.
     """
-    ident, mark, body = "id", "crc", "text"
     source = docs.select(
-        F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NO_ID)).alias(ident),
-        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias(body),
+        F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
     )
-    size = source.agg(F.sum(F.octet_length(body))).first()[0] or 0
+    size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(size // 6 // WORDS_PER_BUCKET) + 1
-    shared = _shared_anchors(source, window, buckets)
-    marked = source.join(shared, ident)
-    later = save(_later_windows(marked, window, buckets), "later-windows")
-    later = later.select(F.col("id").alias("of"), F.col("mark").alias("of_mark"), "starts")
-    keyed = source.withColumn(mark, F.crc32(F.col(body).cast("binary")))
-    joined = keyed.join(later, (keyed[ident] == later["of"]) & (keyed[mark] == later["of_mark"]), "left").select("key", body, "starts")
+    marked = source.join(_shared_anchors(source, window, buckets), "id")
+    # One plan, and both joins on the id alone, so that the texts are shuffled once for both.
+    joined = source.join(_later_windows(marked, window, buckets), "id", "left")
+    kind = docs.schema[key].dataType
+    joined = joined.select(F.nullif(F.col("id"), F.lit(NO_ID)).cast(kind).alias("key"), "text", "later")
     schema = T.StructType([
-        T.StructField(key, docs.schema[key].dataType), T.StructField("n_words", T.LongType()),
+        T.StructField(key, kind), T.StructField("n_words", T.LongType()),
         T.StructField("n_removed", T.LongType()), T.StructField(out, T.StringType()),
     ])
 
@@ -296,14 +298,16 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
         for batch in batches:
             for rows, raws in _groups([batch], "text"):
                 total, removed, kept = [], [], []
-                for raw, starts in zip(raws, rows.column("starts"), strict=True):
+                for raw, later in zip(raws, rows.column("later"), strict=True):
                     words = raw.split()
                     total.append(len(words))
-                    if starts.is_valid:
-                        change = np.zeros(len(words) + 1, np.int64)
-                        at = np.unique(starts.values.to_numpy())
-                        change[at] += 1
-                        change[at + window] -= 1
+                    if later.is_valid:
+                        mark, first, last = (c.to_numpy().astype(np.int64) for c in later.values.flatten())
+                        own = mark == zlib.crc32(raw)
+                        change = np.zeros(len(words) + window + 1, np.int64)
+                        np.add.at(change, first[own], 1)
+                        np.add.at(change, last[own] + window, -1)
+                        change = change[: len(words) + 1]
                         words = [words[i] for i in np.flatnonzero(np.cumsum(change[:-1]) == 0)]
                     removed.append(total[-1] - len(words))
                     kept.append(b" ".join(words).decode())
