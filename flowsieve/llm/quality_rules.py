@@ -135,10 +135,10 @@ def with_verdict(features: DataFrame, cutoffs: DataFrame, stratum: str, kept: st
     at, name = fresh(features, "cutoffs", "stratum")
     cutoffs = cutoffs.select(F.col("stratum").alias(name), F.col("cutoffs").alias(at))
     joined = features.join(cutoffs, F.coalesce(F.col(f"`{stratum}`"), F.lit("")) == F.col(name), "left")
-    bad = F.col("base_failed")
-    for rule in RULES:
-        bad = bad | violates(rule, F.col(at)[rule])
-    return joined.withColumn(kept, ~bad).drop(at, name)
+    # One array rather than a chain of conditions: a filter on those would be split and pushed
+    # below the join, and there each mention of a count would compute it anew.
+    broken = F.array(F.col("base_failed"), *[violates(rule, F.col(at)[rule]) for rule in RULES])
+    return joined.withColumn(kept, ~F.array_contains(broken, True)).drop(at, name)
 
 
 def calibrate(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", stratum: str = "lang") -> tuple[DataFrame, DataFrame]:
