@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowsieve.llm.common import fresh, save
+from flowsieve.llm.common import fresh, save, slices
+from flowsieve.llm.words import mix, scan
 
 BITS, RADIUS, SHINGLE, SEED = 64, 3, 3, 42
 #: Fingerprints of one bucket compared in one task; larger buckets are cut into blocks and block pairs.
@@ -27,6 +29,10 @@ BLOCK = 2048
 SLICE = 1 << 16
 #: Stands for a missing id where one document of a group is chosen; real ids are smaller.
 NO_ID = 1 << 62
+#: Near copies in the pipeline: radius of the word fingerprint, words of a shingle, bytes of a sketch, and the share
+#: of them that must agree: a little under the similarity of 0.8, as the estimate from 48 hashes varies.
+NEAR_RADIUS, NEAR_SHINGLE, SKETCH, NEAR_AGREE = 4, 5, 48, 0.73
+_TURNS = np.random.default_rng(7).integers(1, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def simhash(text: str, size: int = SHINGLE) -> int:
@@ -182,18 +188,135 @@ def components_of(df: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return grouped.select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+class Profile(NamedTuple):
+    """What near copies of a text are found by: fingerprint of its words, sketch of its five-word shingles."""
+
+    node: int
+    fp: int
+    sketch: bytes
+
+
+def profile(raw: bytes, words: np.ndarray) -> Profile:
+    """Profile of a lower-cased text with the given word hashes. Texts with equal words have equal nodes.
+
+    Single words move the fingerprint least when a text is edited: of texts that
+    share four fifths of their five-word shingles nearly all differ in at most
+    four bits. The sketch, the least of each of 48 hashes, then tells them from
+    texts that merely use the same words.
+    """
+    node = xxhash.xxh64_intdigest(b" ".join(raw.split()), SEED)
+    if not len(words):
+        return Profile(node, 0, bytes(SKETCH))
+    ones = np.zeros(BITS, np.int64)
+    for at in range(0, len(words), SLICE):
+        ones += np.unpackbits(words[at : at + SLICE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    size = min(NEAR_SHINGLE, len(words))
+    grams = np.zeros(len(words) - size + 1, np.uint64)
+    for k in range(size):
+        grams = grams * np.uint64(0x9E3779B97F4A7C15) + words[k : k + len(grams)]
+    grams, least = mix(grams), np.full(SKETCH, np.iinfo(np.uint64).max)
+    for at in range(0, len(grams), 1 << 14):
+        least = np.minimum(least, (grams[at : at + (1 << 14), None] * _TURNS).min(0))
+    fp = int(np.packbits(2 * ones > len(words), bitorder="little").view(np.uint64)[0])
+    return Profile(node, fp, mix(least).astype(np.uint8).tobytes())
+
+
+def profiles(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Per row: id, node, fp, sketch. Null counts as empty; texts are taken whole."""
+    narrow = df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in slices(batches, "text"):
+            raws = [(row.as_py() or "").encode().lower() for row in rows.column("text")]
+            found = scan(raws)
+            made = [profile(raw, found.hashes[a:b]) for raw, a, b in zip(raws, found.offsets[:-1], found.offsets[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([
+                rows.column("id"), pa.array(np.array([m.node for m in made], np.uint64).view(np.int64)),
+                pa.array(np.array([m.fp for m in made], np.uint64).view(np.int64)), pa.array([m.sketch for m in made], pa.binary()),
+            ], names=["id", "node", "fp", "sketch"])
+
+    return narrow.mapInArrow(run, "id long, node long, fp long, sketch binary")
+
+
+def near_forest(nodes: np.ndarray, marks: np.ndarray, sketches: np.ndarray) -> tuple[list, list]:
+    """Links that connect what is connected at the radius and the similarity of the sketches."""
+    left, right, rest = [], [], np.arange(len(nodes))
+    need = NEAR_AGREE * SKETCH
+    while len(rest) > 1:
+        frontier, rest = [int(rest[0])], rest[1:]
+        while frontier and len(rest):
+            at = frontier.pop()
+            near = np.bitwise_count(marks[rest] ^ marks[at]) <= NEAR_RADIUS
+            near[near] = (sketches[rest[near]] == sketches[at]).sum(1) >= need
+            found = rest[near]
+            left.extend([nodes[at]] * len(found))
+            right.extend(nodes[found])
+            frontier.extend(found.tolist())
+            rest = rest[~near]
+    return left, right
+
+
+def near_links(nodes: DataFrame) -> DataFrame:
+    """Links (a, b) between texts; buckets and blocks as in :func:`links`, each pair checked where it meets."""
+    signed = [m - (1 << 64) if m >> 63 else m for m in covering_masks(BITS, NEAR_RADIUS)]
+    masked = F.explode(F.array(*[F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits")) for i, m in enumerate(signed)]))
+    narrow = nodes.select("fp", masked.alias("k")).groupBy("k.mask", "k.bits").count().filter(F.col("count") > 1)
+    cut = save(narrow.select("mask", "bits", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "near-buckets")
+    keyed = nodes.select("node", "fp", "sketch", masked.alias("k")).select("node", "fp", "sketch", "k.mask", "k.bits")
+    dealt = keyed.join(cut, ["mask", "bits"]).withColumn("i", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keys = ["mask", "bits", "i", "j"]
+    grouped = dealt.select("mask", "bits", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "node", "fp", "sketch")
+    grouped = grouped.repartition(*keys).sortWithinPartitions(*keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((0, 6), np.int64), np.zeros((0, SKETCH), np.uint8)
+        for batch in _with_end(batches):
+            rows, sketches = held
+            if batch is not None:
+                rows = np.concatenate([rows, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns[:6]], 1)])
+                sketches = np.concatenate([sketches, np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint8).reshape(-1, SKETCH)])
+            ends = np.flatnonzero((rows[1:, :4] != rows[:-1, :4]).any(1)) + 1
+            cuts = [0, *ends.tolist()] + ([len(rows)] if batch is None else [])
+            a, b = [], []
+            for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+                if end - start > 1:
+                    left, right = near_forest(rows[start:end, 4], rows[start:end, 5].view(np.uint64), sketches[start:end])
+                    a.extend(left)
+                    b.extend(right)
+            held = rows[cuts[-1]:], sketches[cuts[-1]:]
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return grouped.mapInArrow(run, "a long, b long")
+
+
+def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
+
+
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group, the one with the least key, with the columns it came with.
+    """One document of each group of near copies, the one with the least key, with the columns it came with.
 
-    A key names a document; rows with equal key and text count once. Documents
-    without a key are told apart by their text and come after all others.
+    Near copies share four fifths of their five-word shingles, A to Z in either
+    case; a text of fewer words is one shingle. A key names a document; rows
+    with equal key and text count once. Documents without a key are told apart
+    by their text and come after all others.
     """
     ident, loser = fresh(docs, "ident", "loser")
     named = docs.withColumn(ident, _ident(F.col(f"`{key}`"), F.col(f"`{text}`")))
-    prints = save(fingerprints(named, ident, text).withColumnRenamed(ident, "id"), "simhash")
-    grouped = save(group_by_simhash(prints, "id").filter("id != component_id").select(F.col("id").alias(loser)).distinct(), "near-copies")
-    kept = named.join(grouped, named[ident] == grouped[loser], "left_anti")
-    twice = save(prints.groupBy("id").count().filter("count > 1").select(F.col("id").alias(loser)), "repeated-keys")
+    found = save(profiles(named, ident, text), "profiles")
+    nodes = save(found.groupBy("node").agg(F.min("id").alias("low"), F.count("*").alias("n"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch")), "near-texts")
+    linked = components(near_links(nodes)).withColumnRenamed("node", "of")
+    member = nodes.select("node", "low", "n").join(linked, F.col("node") == F.col("of"), "left")
+    member = save(member.filter("n > 1 or of is not null").select("node", "low", F.coalesce("root", "node").alias("root")), "members")
+    lowest = save(member.groupBy("root").agg(F.min("low").alias("first")), "lowest")
+    owner = save(member.join(lowest, "root").select(F.col("node").alias("of"), "first"), "owners")
+    losers = found.join(owner, F.col("node") == F.col("of")).filter("id != first").select(F.col("id").alias(loser)).distinct()
+    losers = save(losers, "near-copies").hint("shuffle_merge")  # it grows with the documents, so one plan at every size
+    kept = named.join(losers, named[ident] == losers[loser], "left_anti")
+    twice = save(found.groupBy("id").count().filter("count > 1").select(F.col("id").alias(loser)), "repeated-keys")
     if not twice.isEmpty():
         once = kept.join(twice, kept[ident] == twice[loser], "left_semi").dropDuplicates([ident, text])
         kept = kept.join(twice, kept[ident] == twice[loser], "left_anti").unionByName(once)
