@@ -12,6 +12,7 @@ import hashlib
 from collections.abc import Iterator
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import regex
@@ -21,15 +22,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from sentencepiece import sentencepiece_model_pb2
 
-from flowsieve.llm.common import fresh
+from flowsieve.llm.common import fresh, slices
 
 #: Characters from this code point on stand for the 256 bytes; none of them is a blank or a control.
 FIRST = 0x100
 TO_CHARS = {b: chr(FIRST + b) for b in range(256)}
 #: Bound of a worker's cache, and the longest pre-token kept in it. A full cache starts anew.
-CACHE, CACHED_CHARS = 300_000, 48
+CACHE, CACHED_CHARS = 100_000, 48
 #: Pre-tokens handled at once, so a very long text needs little memory.
 SLICE = 50_000
+#: Rows decoded at once.
+ROWS = 256
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -122,9 +125,12 @@ def encode_texts(df: DataFrame, path: str, text: str = "text", ids: str = "ids",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model, pattern, name)
-        for batch in batches:
-            rows = [[i for part in own.encode(t or "") for i in part] for t in batch.column(text).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(rows, pa.list_(pa.int32()))], names=[*keep, ids])
+        for batch in slices(batches, text, 1 << 20):
+            rows = [np.concatenate([np.zeros(0, np.int32), *(np.array(part, np.int32) for part in own.encode(t.as_py() or ""))]) for t in batch.column(text)]
+            ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+            found = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], found], names=[*keep, ids])
+        pa.default_memory_pool().release_unused()  # workers live on between stages
 
     schema = T.StructType([*[f for f in df.schema.fields if f.name != ids], T.StructField(ids, T.ArrayType(T.IntegerType()))])
     return df.mapInArrow(run, schema)
@@ -137,9 +143,12 @@ def decode_ids(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model, public_tokenizers.PATTERN, name)
-        for batch in batches:
-            rows = [own.decode(row or []) for row in batch.column(ids).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(rows, pa.binary())], names=[*keep, out])
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                rows = [own.decode(row.values.to_numpy().tolist()) if row.is_valid else b"" for row in batch.column(ids)]
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(rows, pa.binary())], names=[*keep, out])
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, T.StructType([*[f for f in df.schema.fields if f.name != out], T.StructField(out, T.BinaryType())]))
 

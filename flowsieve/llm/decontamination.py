@@ -29,7 +29,7 @@ LITERALS, CONSISTENT, DRIFT = 3, 0.8, 8
 #: Benchmark text that is broadcast at once; a larger benchmark takes several passes.
 BLOCK_BYTES = 16 << 20
 #: Cached tokens of a worker.
-CACHE = 400_000
+CACHE = 150_000
 
 # Words and signs that are units after (or, for signs, next to) a number, and words that are numbers.
 UNITS = frozenset(
