@@ -8,18 +8,17 @@ most r bits agree under some mask, without exception.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowsieve.llm.common import fresh, save, slices
+from flowsieve.llm.common import BLANKS, ascii_lower, fresh, save, slices
 from flowsieve.llm.words import mix, scan
 
 BITS, RADIUS, SHINGLE, SEED = 64, 3, 3, 42
@@ -29,10 +28,12 @@ BLOCK = 2048
 SLICE = 1 << 16
 #: Stands for a missing id where one document of a group is chosen; real ids are smaller.
 NO_ID = 1 << 62
-#: Near copies in the pipeline: radius of the word fingerprint, words of a shingle, bytes of a sketch, and the share
-#: of them that must agree: a little under the similarity of 0.8, as the estimate from 48 hashes varies.
-NEAR_RADIUS, NEAR_SHINGLE, SKETCH, NEAR_AGREE = 4, 5, 48, 0.73
-_TURNS = np.random.default_rng(7).integers(1, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Near copies in the pipeline: words of a shingle, and bands of min-hashes. A pair at similarity 0.8 agrees in no band
+#: with chance (1 - 0.8 ** 5) ** 40 = 1.3e-7, whatever its texts; a pair above it with less.
+NEAR_SHINGLE, BANDS, BAND_ROWS = 5, 40, 5
+#: Pairs a row of the buckets up to which all pairs are compared at once; beyond it, rounds of stars come first.
+NEAR_PAIRS = 4
+_TURNS = np.random.default_rng(7).integers(1, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def simhash(text: str, size: int = SHINGLE) -> int:
@@ -188,132 +189,123 @@ def components_of(df: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return grouped.select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-class Profile(NamedTuple):
-    """What near copies of a text are found by: fingerprint of its words, sketch of its five-word shingles."""
-
-    node: int
-    fp: int
-    sketch: bytes
-
-
-def profile(raw: bytes, words: np.ndarray) -> Profile:
-    """Profile of a lower-cased text with the given word hashes. Texts with equal words have equal nodes.
-
-    Single words move the fingerprint least when a text is edited: of texts that
-    share four fifths of their five-word shingles nearly all differ in at most
-    four bits. The sketch, the least of each of 48 hashes, then tells them from
-    texts that merely use the same words.
-    """
-    node = xxhash.xxh64_intdigest(b" ".join(raw.split()), SEED)
-    if not len(words):
-        return Profile(node, 0, bytes(SKETCH))
-    ones = np.zeros(BITS, np.int64)
-    for at in range(0, len(words), SLICE):
-        ones += np.unpackbits(words[at : at + SLICE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+def shingles(words: np.ndarray) -> np.ndarray:
+    """Hashes of the five-word shingles of a text with the given word hashes, each once; fewer words are one shingle."""
     size = min(NEAR_SHINGLE, len(words))
-    grams = np.zeros(len(words) - size + 1, np.uint64)
+    grams = np.zeros(len(words) - size + 1 if size else 0, np.uint64)
     for k in range(size):
         grams = grams * np.uint64(0x9E3779B97F4A7C15) + words[k : k + len(grams)]
-    grams, least = mix(grams), np.full(SKETCH, np.iinfo(np.uint64).max)
-    for at in range(0, len(grams), 1 << 14):
-        least = np.minimum(least, (grams[at : at + (1 << 14), None] * _TURNS).min(0))
-    fp = int(np.packbits(2 * ones > len(words), bitorder="little").view(np.uint64)[0])
-    return Profile(node, fp, mix(least).astype(np.uint8).tobytes())
+    return np.unique(mix(grams))
 
 
-def profiles(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Per row: id, node, fp, sketch. Null counts as empty; texts are taken whole."""
-    narrow = df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
+def bands(grams: np.ndarray) -> np.ndarray:
+    """Bucket of the shingles in each band: a hash of the least of each of its min-hashes."""
+    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max)
+    for at in range(0, len(grams), 1 << 11):
+        least = np.minimum(least, (grams[None, at : at + (1 << 11)] * _TURNS[:, None]).min(1))
+    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for k in range(BAND_ROWS):
+        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + least[k::BAND_ROWS])
+    return keys
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in slices(batches, "text"):
-            raws = [(row.as_py() or "").encode().lower() for row in rows.column("text")]
-            found = scan(raws)
-            made = [profile(raw, found.hashes[a:b]) for raw, a, b in zip(raws, found.offsets[:-1], found.offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([
-                rows.column("id"), pa.array(np.array([m.node for m in made], np.uint64).view(np.int64)),
-                pa.array(np.array([m.fp for m in made], np.uint64).view(np.int64)), pa.array([m.sketch for m in made], pa.binary()),
-            ], names=["id", "node", "fp", "sketch"])
-
-    return narrow.mapInArrow(run, "id long, node long, fp long, sketch binary")
-
-
-def near_forest(nodes: np.ndarray, marks: np.ndarray, sketches: np.ndarray) -> tuple[list, list]:
-    """Links that connect what is connected at the radius and the similarity of the sketches."""
-    left, right, rest = [], [], np.arange(len(nodes))
-    need = NEAR_AGREE * SKETCH
-    while len(rest) > 1:
-        frontier, rest = [int(rest[0])], rest[1:]
-        while frontier and len(rest):
-            at = frontier.pop()
-            near = np.bitwise_count(marks[rest] ^ marks[at]) <= NEAR_RADIUS
-            near[near] = (sketches[rest[near]] == sketches[at]).sum(1) >= need
-            found = rest[near]
-            left.extend([nodes[at]] * len(found))
-            right.extend(nodes[found])
-            frontier.extend(found.tolist())
-            rest = rest[~near]
-    return left, right
-
-
-def near_links(nodes: DataFrame) -> DataFrame:
-    """Links (a, b) between texts; buckets and blocks as in :func:`links`, each pair checked where it meets."""
-    signed = [m - (1 << 64) if m >> 63 else m for m in covering_masks(BITS, NEAR_RADIUS)]
-    masked = F.explode(F.array(*[F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits")) for i, m in enumerate(signed)]))
-    narrow = nodes.select("fp", masked.alias("k")).groupBy("k.mask", "k.bits").count().filter(F.col("count") > 1)
-    cut = save(narrow.select("mask", "bits", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "near-buckets")
-    keyed = nodes.select("node", "fp", "sketch", masked.alias("k")).select("node", "fp", "sketch", "k.mask", "k.bits")
-    dealt = keyed.join(cut, ["mask", "bits"]).withColumn("i", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keys = ["mask", "bits", "i", "j"]
-    grouped = dealt.select("mask", "bits", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "node", "fp", "sketch")
-    grouped = grouped.repartition(*keys).sortWithinPartitions(*keys)
+
+def _per_text(df: DataFrame, keep: str, made: Callable[[np.ndarray], np.ndarray], out: str, schema: str) -> DataFrame:
+    """Columns of numbers as they are, and for ``text`` an array made of its shingles. Texts are taken whole."""
+    names = keep.split()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((0, 6), np.int64), np.zeros((0, SKETCH), np.uint8)
-        for batch in _with_end(batches):
-            rows, sketches = held
-            if batch is not None:
-                rows = np.concatenate([rows, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns[:6]], 1)])
-                sketches = np.concatenate([sketches, np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint8).reshape(-1, SKETCH)])
-            ends = np.flatnonzero((rows[1:, :4] != rows[:-1, :4]).any(1)) + 1
-            cuts = [0, *ends.tolist()] + ([len(rows)] if batch is None else [])
-            a, b = [], []
-            for start, end in zip(cuts[:-1], cuts[1:], strict=True):
-                if end - start > 1:
-                    left, right = near_forest(rows[start:end, 4], rows[start:end, 5].view(np.uint64), sketches[start:end])
-                    a.extend(left)
-                    b.extend(right)
-            held = rows[cuts[-1]:], sketches[cuts[-1]:]
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        for rows in slices(batches, "text", 1 << 20):
+            found = scan([(row.as_py() or "").encode().lower() for row in rows.column("text")])
+            parts = [made(shingles(found.hashes[a:b])) for a, b in zip(found.offsets[:-1], found.offsets[1:], strict=True)]
+            ends = pa.array(np.cumsum([0, *map(len, parts)]), pa.int32())
+            flat = pa.array(np.concatenate(parts).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in names], pa.ListArray.from_arrays(ends, flat)], names=[*names, out])
 
-    return grouped.mapInArrow(run, "a long, b long")
+    return df.select(*names, "text").mapInArrow(run, schema)
 
 
-def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
-    yield from batches
-    yield None
+def near_buckets(nodes: DataFrame) -> DataFrame:
+    """(key, node) of all texts that share a band with another text."""
+    keyed = nodes.select("node", F.explode("keys").alias("key"))
+    shared = keyed.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a != b").select("key")
+    return save(keyed.join(save(shared, "near-shared"), "key"), "near-buckets")
+
+
+def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of texts whose shingle sets are similar at 0.8 or more: 9 common >= 4 (of a + of b)."""
+    both = pairs.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("of_b")), "b")
+    both = both.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("of_a")), "a")
+    common = F.size(F.array_intersect("of_a", "of_b"))
+    return both.filter(9 * common >= 4 * (F.size("of_a") + F.size("of_b"))).select("a", "b")
+
+
+def near_components(buckets: DataFrame, sets: DataFrame) -> DataFrame:
+    """Per linked text its component: (node, root). Texts are linked if :func:`alike` says so.
+
+    Pairs of texts that are connected already need no comparison. While the
+    others are many, each text is compared with one of another component in its
+    bucket; at last, or once that links nothing more, all that are left are.
+    """
+    links = found = None
+    while True:
+        member = buckets.withColumn("root", F.col("node"))
+        if found is not None:
+            of = found.select("node", F.col("root").alias("of"))
+            member = buckets.join(of, "node", "left").select("key", "node", F.coalesce("of", "node").alias("root"))
+            member = save(member, "near-members")
+        sizes = member.groupBy("key", "root").agg(F.count("*").cast("double").alias("n"))
+        sizes = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same")).filter("n * n > same")
+        left, rows = sizes.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2), F.sum("n")).first()
+        if not left:
+            return found if found is not None else components(buckets.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
+        last = left <= NEAR_PAIRS * rows
+        if not last:
+            new = save(alike(_stars(member), sets), "near-links")
+            last = new.isEmpty()
+            if not last:
+                links = new if links is None else links.unionByName(new)
+                found = components(links)
+                continue
+        open_ = member.join(sizes.select("key"), "key")
+        other = open_.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
+        pairs = open_.join(other, (open_["key"] == other["key"]) & (F.col("node") < F.col("b")) & (F.col("root") != F.col("root_b")))
+        new = alike(save(pairs.select(F.col("node").alias("a"), "b").distinct(), "near-pairs"), sets)
+        return components(new if links is None else links.unionByName(new))
+
+
+def _stars(member: DataFrame) -> DataFrame:
+    """Pairs (a, b): each text b of a bucket with a text a of the first component there, or of the last if b is in the first."""
+    row = F.struct("root", "node")
+    heads = member.groupBy("key").agg(F.min(row).alias("low"), F.max(row).alias("high")).filter("low.root != high.root")
+    both = member.join(save(heads, "near-heads"), "key")
+    pairs = both.select(F.when(F.col("root") == F.col("low.root"), F.col("high.node")).otherwise(F.col("low.node")).alias("a"), F.col("node").alias("b"))
+    return save(pairs.distinct(), "near-stars")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each group of near copies, the one with the least key, with the columns it came with.
 
     Near copies share four fifths of their five-word shingles, A to Z in either
-    case; a text of fewer words is one shingle. A key names a document; rows
-    with equal key and text count once. Documents without a key are told apart
-    by their text and come after all others.
+    case; a text of fewer words is one shingle. Every link is checked on the two
+    whole sets. A key names a document; rows with equal key and text count once.
+    Documents without a key are told apart by their text and come after all others.
     """
     ident, loser = fresh(docs, "ident", "loser")
     named = docs.withColumn(ident, _ident(F.col(f"`{key}`"), F.col(f"`{text}`")))
-    found = save(profiles(named, ident, text), "profiles")
-    nodes = save(found.groupBy("node").agg(F.min("id").alias("low"), F.count("*").alias("n"), F.first("fp").alias("fp"), F.first("sketch").alias("sketch")), "near-texts")
-    linked = components(near_links(nodes)).withColumnRenamed("node", "of")
+    narrow = named.select(F.col(ident).alias("id"), _node(F.col(f"`{text}`")).alias("node"), F.col(f"`{text}`").alias("text"))
+    found = save(_per_text(narrow, "id node", bands, "keys", "id long, node long, keys array<long>"), "profiles")
+    nodes = save(found.groupBy("node").agg(F.min("id").alias("low"), F.count("*").alias("n"), F.first("keys").alias("keys")), "near-texts")
+    buckets = near_buckets(nodes)
+    # The texts to compare grow with the documents, so one plan at every size.
+    wanted = save(nodes.join(buckets.select("node").distinct(), "node").select("node", F.col("low").alias("id")), "near-wanted").hint("shuffle_merge")
+    sets = _per_text(narrow.join(wanted, ["id", "node"]), "node", lambda grams: grams, "grams", "node long, grams array<long>")
+    sets = save(sets.dropDuplicates(["node"]), "near-sets")
+    linked = near_components(buckets, sets).withColumnRenamed("node", "of")
     member = nodes.select("node", "low", "n").join(linked, F.col("node") == F.col("of"), "left")
     member = save(member.filter("n > 1 or of is not null").select("node", "low", F.coalesce("root", "node").alias("root")), "members")
     lowest = save(member.groupBy("root").agg(F.min("low").alias("first")), "lowest")
     owner = save(member.join(lowest, "root").select(F.col("node").alias("of"), "first"), "owners")
-    losers = found.join(owner, F.col("node") == F.col("of")).filter("id != first").select(F.col("id").alias(loser)).distinct()
+    losers = found.select("id", "node").join(owner, F.col("node") == F.col("of")).filter("id != first").select(F.col("id").alias(loser)).distinct()
     losers = save(losers, "near-copies").hint("shuffle_merge")  # it grows with the documents, so one plan at every size
     kept = named.join(losers, named[ident] == losers[loser], "left_anti")
     twice = save(found.groupBy("id").count().filter("count > 1").select(F.col("id").alias(loser)), "repeated-keys")
@@ -323,6 +315,11 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def _node(text: Column) -> Column:
+    """Hash of the words of a text, A to Z in either case."""
+    return F.xxhash64(F.trim(F.regexp_replace(ascii_lower(F.coalesce(text, F.lit(""))), f"[{BLANKS}]+", " ")))
+
+
 def _ident(key, text):
     by_text = F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(F.lit((1 << 61) - 1)) + F.lit(NO_ID)
     return F.coalesce(key.cast("long"), by_text)

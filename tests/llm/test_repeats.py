@@ -116,6 +116,54 @@ def test_near_copies_are_found_and_others_stay(spark):
     assert len(kept) <= 31  # of 45 near copies at most one is missed by the fingerprint's radius
 
 
+def edited(rng, base, word, low, high):
+    """A copy of the base with scattered words replaced until its similarity is within the bounds."""
+    copy = list(base)
+    while not low <= (now := similarity(" ".join(base), " ".join(copy))) < high:
+        if now < low:
+            copy = list(base)
+        copy[rng.randrange(len(base))] = word()
+    return " ".join(copy)
+
+
+def test_near_copies_at_both_sides_of_the_limit(spark):
+    rng = random.Random(11)
+    rare = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 9)))
+    data, above, below = [], set(), set()
+    for g in range(120):
+        base = [rare() for _ in range(rng.choice([60, 150, 400]))]
+        low, high = (0.8, 0.86) if g % 2 else (0.68, 0.8)
+        data.append((len(data), " ".join(base), "en", "s", 0))
+        (above if g % 2 else below).add(len(data))
+        data.append((len(data), edited(rng, base, rare, low, high), "en", "s", 0))
+    kept = {r.doc_id for r in simhash.keep_one(cases.frame(spark, data)).collect()}
+    assert not kept & above and below <= kept
+    assert kept == set(range(240)) - above
+
+
+@pytest.mark.parametrize("most", [0, 4])
+def test_near_groups_are_connected_through_their_links(spark, monkeypatch, most):
+    monkeypatch.setattr(simhash, "NEAR_PAIRS", most)
+    rng = random.Random(3)
+    rare = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 9)))
+    texts = []
+    for _ in range(6):
+        chain = [rare() for _ in range(120)]
+        for _ in range(8):
+            texts.append(" ".join(chain))
+            for _ in range(2):
+                chain[rng.randrange(120)] = rare()
+    rng.shuffle(texts)
+    root = list(range(len(texts)))
+    for j in range(len(texts)):
+        for i in range(j):
+            if similarity(texts[i], texts[j]) >= 0.8 and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    data = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    assert {r.doc_id for r in simhash.keep_one(cases.frame(spark, data)).collect()} == set(root)
+
+
 def test_one_of_each_group_stays(spark):
     data = cases.rows() + [(0, cases.TEXTS[0], "en", "s", 1), (None, cases.TEXTS[0], "en", "s", 1), (None, "no id here at all", "en", "s", 1), (None, "no id here at all", "en", "s", 1)]
     docs = cases.frame(spark, data).withColumnRenamed("source", "ident").withColumnRenamed("lang", "loser")
