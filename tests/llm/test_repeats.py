@@ -141,6 +141,17 @@ def test_near_copies_at_both_sides_of_the_limit(spark):
     assert kept == set(range(240)) - above
 
 
+@pytest.mark.parametrize("size", [30, 80, 150, 400])
+def test_candidates_meet_at_every_length(size):
+    rng = random.Random(size)
+    common = [f"w{i}" for i in range(300)]
+    word = lambda: rng.choice(common)
+    made = lambda text: simhash.bands(simhash.shingles(scan([text.encode()]).hashes))
+    for _ in range(60):
+        base = [word() for _ in range(size)]
+        assert (made(" ".join(base)) == made(edited(rng, base, word, 0.8, 0.87))).any()
+
+
 @pytest.mark.parametrize("most", [0, 4])
 def test_near_groups_are_connected_through_their_links(spark, monkeypatch, most):
     monkeypatch.setattr(simhash, "NEAR_PAIRS", most)
