@@ -3,15 +3,22 @@
 Texts become templates: numbers, units and names turn into typed placeholders,
 other words into lower case. Windows of template words are looked up in a hash
 table of all benchmark windows. An item counts as leaked when enough of its
-windows appear in order, and the values in its slots map one to one to the
-document's values; so a question asked again with other names and numbers is
-found, and chance matches of mere templates are not.
+windows appear in order within a span of the document, the template words
+around them cover enough of the whole item, and the values in its slots map one
+to one to the document's values; so a question asked again with other names and
+numbers is found, and chance matches of mere templates are not.
+
+Items of few such windows (one or two words, arithmetic, lists of names, scripts
+without blanks) are also looked for as they stand: windows of lower-cased words,
+signs of arithmetic and, in such scripts, characters, without placeholders. An
+item of one word leaks wherever that word stands.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -20,12 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from flowsieve.llm.words import mix
 
 WINDOW, SIMILARITY = 5, 0.8
-#: Words of a window that must be no placeholders; slots that must agree; words by which a match may shift.
-LITERALS, CONSISTENT, DRIFT = 3, 0.8, 8
+#: Words of a window that must be no placeholders; slots that must agree.
+LITERALS, CONSISTENT = 3, 0.8
+#: A match spans at most this many times the item's words, and so many words more. The close span is tried first.
+SPANS, MORE = (1, 3), 8
 #: Benchmark text that is broadcast at once; a larger benchmark takes several passes.
 BLOCK_BYTES = 16 << 20
 #: Cached tokens of a worker.
@@ -46,6 +56,9 @@ NUMBERS = frozenset(
 
 _TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+|[.!?\n]|[%$€£¥°]")
 LITERAL, NAME, NUMBER, UNIT, STOP, SIGN = range(6)
+#: Words as they stand: signs of arithmetic, characters of scripts without blanks, other words.
+_EXACT = re.compile(r"[-+*/=<>^%×÷−]|[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]"
+                    r"|[^\W_\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]+")
 _PLACE = mix(np.arange(1, 5, dtype=np.uint64))
 
 
@@ -53,6 +66,7 @@ class Template(NamedTuple):
     words: np.ndarray  # template word of each token
     kinds: np.ndarray
     values: np.ndarray  # hash of what stood there
+    text: str = ""
 
 
 class Reader:
@@ -98,7 +112,13 @@ class Reader:
         kinds, values = kinds[stay], values[stay]
         values = np.where(kinds == NAME, whole, values)
         words = np.where(kinds == LITERAL, values, _PLACE[np.clip(kinds, 0, 3)])
-        return Template(words, kinds, values)
+        return Template(words, kinds, values, text)
+
+    def exact(self, text: str) -> Template:
+        """The text as it stands, all words literal."""
+        known, code = self.cache.get, self.code
+        values = np.fromiter((known(t) or code(t) for t in _EXACT.findall(text)), np.uint64) >> np.uint64(3)
+        return Template(values, np.full(len(values), LITERAL, np.int8), values)
 
 
 def windows(got: Template, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -121,10 +141,11 @@ class Items(NamedTuple):
     templates: list[Template]
     sizes: np.ndarray
     totals: np.ndarray
+    exact: Items | None = None  # those of few usable windows, as they stand
 
 
 def build_items(rows: list[tuple], window: int = WINDOW) -> Items:
-    reader, ids, templates, sizes, totals, parts = Reader(), [], [], [], [], []
+    reader, ids, templates, sizes, totals, parts, short = Reader(), [], [], [], [], [], []
     for ident, text in rows:
         got = reader.read(text or "")
         size = min(window, len(got.words))
@@ -132,14 +153,36 @@ def build_items(rows: list[tuple], window: int = WINDOW) -> Items:
         first = _TOKEN.search(text or "")
         if first and reader.code(first.group()) & 7 == NAME and usable[1:].any():
             usable[:1] = False  # in a document the capital may stand inside a sentence and read as a name
-        if not usable.any():
-            continue  # nothing to recognise it by
         at = np.flatnonzero(usable)
+        if len(np.unique(at[:, None] + np.arange(size))) < SIMILARITY * len(got.words) or not len(at):
+            short.append((ident, text or ""))
+        if not len(at):
+            continue
         parts.append((keys[at], np.full(len(at), len(ids)), at))
         ids.append(ident)
         templates.append(got)
         sizes.append(size)
         totals.append(len(at))
+    return _table(parts, ids, templates, sizes, totals)._replace(exact=_exact_items(reader, short, window))
+
+
+def _exact_items(reader: Reader, rows: list[tuple], window: int) -> Items | None:
+    """All windows of items as they stand; None if no item has a word."""
+    ids, templates, sizes, totals, parts = [], [], [], [], []
+    for ident, text in rows:
+        got = reader.exact(text)
+        size = min(window, len(got.words))
+        if size:
+            keys, _ = windows(got, size)
+            parts.append((keys, np.full(len(keys), len(ids)), np.arange(len(keys))))
+            ids.append(ident)
+            templates.append(got)
+            sizes.append(size)
+            totals.append(len(keys))
+    return _table(parts, ids, templates, sizes, totals) if ids else None
+
+
+def _table(parts: list[tuple], ids: list, templates: list[Template], sizes: list[int], totals: list[int]) -> Items:
     keys, item, at = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
     order = np.argsort(keys, kind="stable")
     return Items(keys[order], item[order], at[order], ids, templates, np.array(sizes), np.array(totals))
@@ -147,6 +190,14 @@ def build_items(rows: list[tuple], window: int = WINDOW) -> Items:
 
 def leaks(got: Template, items: Items, similarity: float = SIMILARITY) -> list[tuple]:
     """(item, matched windows, all windows, slots, slots with the item's own value) of the items that the text leaks."""
+    found = _leaks(got, items, similarity)
+    if items.exact is not None and got.text:
+        seen = {x[0] for x in found}
+        found += [x for x in _leaks(_reader().exact(got.text), items.exact, similarity) if x[0] not in seen]
+    return found
+
+
+def _leaks(got: Template, items: Items, similarity: float) -> list[tuple]:
     found: list[tuple] = []
     if not len(items.keys):
         return found
@@ -162,47 +213,92 @@ def leaks(got: Template, items: Items, similarity: float = SIMILARITY) -> list[t
     if not hits:
         return found
     item, own, here = (np.concatenate(c) for c in zip(*hits, strict=True))
-    shift = here - own
-    order = np.lexsort((own, shift, item))
-    item, own, here, shift = item[order], own[order], here[order], shift[order]
+    order = np.lexsort((-own, here, item))  # of the windows at one place a rising chain takes one
+    item, own, here = item[order], own[order], here[order]
     cuts = np.flatnonzero(np.diff(item, prepend=-1, append=-1))
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         i = int(item[a])
-        need = similarity * items.totals[i]
-        if len(np.unique(own[a:b])) < need:
+        distinct = np.unique(own[a:b])
+        if len(distinct) < similarity * items.totals[i]:
             continue
-        best: tuple | None = None
-        heads = a + np.flatnonzero(np.diff(shift[a:b], prepend=shift[a] - 1))
-        for head in heads:
-            tail = a + np.searchsorted(shift[a:b], shift[head] + DRIFT, side="right")
-            matched = len(np.unique(own[head:tail]))
-            if matched >= need and (best is None or matched > best[0]):
-                slots, same, agree = _slots(got, items.templates[i], own[head:tail], here[head:tail], int(items.sizes[i]))
-                if agree:
-                    best = (matched, slots, same)
+        late = distinct[len(distinct) - max(1, int(np.ceil(similarity * items.totals[i])))]  # a chain that starts later is too short
+        best = _best_chain(got, items, i, own[a:b], here[a:b], int(late), similarity)
         if best:
             found.append((items.ids[i], best[0], int(items.totals[i]), best[1], best[2]))
     return found
 
 
-def _slots(got: Template, item: Template, own: np.ndarray, here: np.ndarray, size: int) -> tuple[int, int, bool]:
-    """Slots under the match, how many hold the item's own value, and whether values map one to one.
+def _best_chain(got: Template, items: Items, i: int, own: np.ndarray, here: np.ndarray, late: int, similarity: float) -> tuple | None:
+    """(matched windows, slots, slots with the item's own value) of the best chain of the item's windows, or None.
 
-    The match is the matched windows and what lies between those of the main shift.
+    A chain rises in the item and in the document. What is put between its
+    windows does not matter, as long as the whole lies within the span.
+    """
+    need, total, template, size = similarity * items.totals[i], int(items.totals[i]), items.templates[i], int(items.sizes[i])
+    best: tuple | None = None
+    tried: set[tuple] = set()
+    for start in np.flatnonzero(own <= late):
+        for span in SPANS:
+            stop = int(np.searchsorted(here, here[start] + span * len(template.words) + MORE, side="right"))
+            if stop - start < need or len(np.unique(own[start:stop])) < need:
+                continue
+            chain = start + _rising(own[start:stop])
+            if len(chain) < need or (best and len(chain) <= best[0]) or (int(chain[0]), int(chain[-1])) in tried:
+                continue
+            tried.add((int(chain[0]), int(chain[-1])))
+            slots, same, agree, share = _slots(got, template, own[chain], here[chain], size)
+            if agree and share >= similarity:
+                best = (len(chain), slots, same)
+        if best and best[0] == total:
+            break
+    return best
+
+
+def _rising(values: np.ndarray) -> np.ndarray:
+    """Places of the longest strictly rising chain."""
+    ends: list[int] = []
+    places: list[int] = []
+    before = []
+    for place, value in enumerate(values.tolist()):
+        k = bisect_left(ends, value)
+        before.append(places[k - 1] if k else -1)
+        ends[k : k + 1] = [value]
+        places[k : k + 1] = [place]
+    out, place = [], places[-1]
+    while place >= 0:
+        out.append(place)
+        place = before[place]
+    return np.array(out[::-1])
+
+
+def _slots(got: Template, item: Template, own: np.ndarray, here: np.ndarray, size: int) -> tuple[int, int, bool, float]:
+    """Slots under the match, how many hold the item's own value, whether values map one to one, and the share of the item covered.
+
+    The match is the matched windows and the equal template words before, between and after them.
     """
-    shifts, times = np.unique(here - own, return_counts=True)
-    main = shifts[times.argmax()]
-    inside = own[here - own == main]
-    span = np.arange(inside.min(), inside.max() + size)
-    left = np.concatenate([(own[:, None] + np.arange(size)).ravel(), span])
-    right = np.concatenate([(here[:, None] + np.arange(size)).ravel(), span + main])
-    pairs = np.unique(np.stack([left, right], 1), axis=0)
+    left, right = (own[:, None] + np.arange(size)).ravel(), (here[:, None] + np.arange(size)).ravel()
+    more: list[tuple[int, int]] = []
+    ends = [(-size, max(-size, int(here[0] - own[0]) - size)), *zip(own.tolist(), here.tolist(), strict=True), (len(item.words), len(got.words))]
+    for k, ((a, x), (b, y)) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+        a, x = a + size, x + size
+        if k in (0, len(ends) - 2) or b - a == y - x:  # at one shift, unequal words do not end the match
+            shift = y - b if k < len(ends) - 2 else x - a
+            more.extend((p, p + shift) for p in range(max(a, 0), b) if 0 <= p + shift < len(got.words) and item.words[p] == got.words[p + shift])
+            continue
+        while a < b and x < y and item.words[a] == got.words[x]:
+            more.append((a, x))
+            a, x = a + 1, x + 1
+        while b > a and y > x and item.words[b - 1] == got.words[y - 1]:
+            b, y = b - 1, y - 1
+            more.append((b, y))
+    pairs = np.unique(np.concatenate([np.stack([left, right], 1), np.array(more, np.int64).reshape(-1, 2)]), axis=0)
+    share = len(np.unique(pairs[:, 0])) / len(item.words)
     pairs = pairs[item.kinds[pairs[:, 0]] != LITERAL]
     if not len(pairs):
-        return 0, 0, True
+        return 0, 0, True, share
     left, right = item.values[pairs[:, 0]], got.values[pairs[:, 1]]
     agree = min(_main_share(left, right), _main_share(right, left))
-    return len(np.unique(pairs[:, 0])), int((left == right).sum()), agree >= CONSISTENT
+    return len(np.unique(pairs[:, 0])), int((left == right).sum()), agree >= CONSISTENT, share
 
 
 def _main_share(given: np.ndarray, other: np.ndarray) -> float:
@@ -236,8 +332,7 @@ def _reader() -> Reader:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id") -> DataFrame:
     """One row per document and item that it leaks: key, item, n_matched, n_windows, n_slots, n_same_values.
 
-    Null and empty texts leak nothing. Items without a window of enough words
-    are not recognised. Repeated rows give repeated results. Documents are read
+    Null and empty texts leak nothing, and items without a word are not recognised. Repeated rows give repeated results. Documents are read
     whole and not shuffled.
     """
     narrow = docs.select(F.col(f"`{key}`").alias("a"), F.col(f"`{text}`").alias("b"))
@@ -260,8 +355,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
                     at.extend([i] * len(got))
                 columns = list(zip(*found, strict=True)) or [()] * 5
                 keys = batch.column("a").take(pa.array(at, pa.int64()))
-                kind = pa.array([None if not own.ids else own.ids[0]]).type
-                yield pa.RecordBatch.from_arrays([keys, pa.array(columns[0], kind), *[pa.array(c, pa.int64()) for c in columns[1:]]], names=schema.names)
+                yield pa.RecordBatch.from_arrays([keys, pa.array(columns[0], to_arrow_type(item_type)), *[pa.array(c, pa.int64()) for c in columns[1:]]], names=schema.names)
 
         part = narrow.mapInArrow(run, schema)
         out = part if out is None else out.unionByName(part)

@@ -106,6 +106,18 @@ def test_templates(spark):
     assert hit[3] > 0 and hit[4] < hit[3]
 
 
+def test_leaks_with_a_stretch_put_in_or_taken_out():
+    text = " ".join(f"{a} {b}" for a, b in zip("abcdefghijklmnopqrstuvwxyz", "the river ran down past old mills while quiet farmers walked home over wet fields under grey skies with heavy bags on their backs".split(), strict=False))
+    words, reader = text.split(), dc.Reader()
+    items = dc.build_items([("q", text)])
+    found = lambda x: [h[0] for h in dc.leaks(reader.read(x), items)]
+    remark = "page nine of this printed book which was made by them".split()
+    assert len(remark) > 8 and found(" ".join(words[:22] + remark + words[22:])) == ["q"]
+    assert found(" ".join(words[:14] + remark[:6] + words[14:30] + remark[4:] + words[30:])) == ["q"]
+    assert found(" ".join(words[:22])) == [] and found(" ".join(words[22:] + remark + words[:22])) == []  # half, and out of order
+    assert found(" ".join(words[:22] + remark * 40 + words[22:])) == []  # too far apart
+
+
 def test_leaks_in_awkward_tables(spark, monkeypatch):
     bench = spark.createDataFrame([(1, ITEM), (2, None), (3, ""), (4, ITEM), (None, "the quick brown fox jumps over the lazy dog and runs")], "item_id long, text string")
     data = [*cases.rows(), (100, ITEM, None, None, None), (100, ITEM, None, None, None), (None, SAME, None, None, None), (101, "x " * 9000 + "the quick brown fox jumps over the lazy dog and runs", None, None, None)]
