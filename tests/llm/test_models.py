@@ -118,6 +118,21 @@ def test_leaks_with_a_stretch_put_in_or_taken_out():
     assert found(" ".join(words[:22] + remark * 40 + words[22:])) == []  # too far apart
 
 
+def test_leaks_of_items_with_few_usable_windows(spark):
+    rows = [("word", "Xylophon"), ("pair", "Quartz Veil"), ("sum", "12 * 7 + 3"), ("names", "Anna Bert Carl Dora Emil Fritz Gina Hans"), ("clause", "今天天气很好我们去公园散步")]
+    one = "Anna and the old dog ran. Peter Bert 12 kg Gina Hans 7 kg Karl Lisa 9 cm"  # one window with three words that are no placeholders
+    items, reader = dc.build_items([*rows, ("one", one)]), dc.Reader()
+    found = lambda x: {h[0] for h in dc.leaks(reader.read(x), items)}
+    for ident, text in [*rows, ("one", one)]:
+        assert found(text) == {ident} and found(f"some words before, {text} and after it") == {ident}
+    assert found("他说今天天气很好我们去公园散步然后回家") == {"clause"}
+    assert found("then Tom and the old dog ran. After that it was late and all of them went home") == set()
+    assert found("12 of them, 7 more and 3") == set() and found("Anna met Bert, and Carl saw Dora") == set()
+    bench, docs = spark.createDataFrame(rows, "item_id string, text string"), cases.frame(spark, [(1, "so 12 * 7 + 3 is it", None, None, None), (2, "so 12 is it", None, None, None)])
+    assert [(r.doc_id, r.item_id) for r in dc.find_leaks(docs, bench).collect()] == [(1, "sum")]
+    assert [r.doc_id for r in dc.without_leaks(docs, bench).collect()] == [2]
+
+
 def test_leaks_in_awkward_tables(spark, monkeypatch):
     bench = spark.createDataFrame([(1, ITEM), (2, None), (3, ""), (4, ITEM), (None, "the quick brown fox jumps over the lazy dog and runs")], "item_id long, text string")
     data = [*cases.rows(), (100, ITEM, None, None, None), (100, ITEM, None, None, None), (None, SAME, None, None, None), (101, "x " * 9000 + "the quick brown fox jumps over the lazy dog and runs", None, None, None)]
