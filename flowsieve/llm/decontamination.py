@@ -27,7 +27,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 from flowsieve.llm.words import mix
 
@@ -311,12 +310,15 @@ def _main_share(given: np.ndarray, other: np.ndarray) -> float:
 
 
 def benchmark_blocks(benchmark: DataFrame, key: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[Items]:
-    """The benchmark in blocks of bounded size; each comes to the driver and is broadcast in turn."""
-    rows = benchmark.select(F.col(f"`{key}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    """The texts of the benchmark, each once, in blocks of bounded size; each block comes to the driver and is broadcast in turn.
+
+    Items are named by the hash of their text; their ids, however many a text has, are joined to what is found.
+    """
+    rows = benchmark.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).distinct().select(F.xxhash64("text").alias("id"), "text")
     size = rows.agg(F.sum(F.octet_length("text") + 8)).first()[0] or 0
     blocks = int(size // block_bytes) + 1
     for b in range(blocks):
-        part = rows if blocks == 1 else rows.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b)
+        part = rows if blocks == 1 else rows.filter(F.pmod(F.col("id"), F.lit(blocks)) == b)
         yield build_items([tuple(r) for r in part.collect()])
 
 
@@ -336,9 +338,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     whole and not shuffled.
     """
     narrow = docs.select(F.col(f"`{key}`").alias("a"), F.col(f"`{text}`").alias("b"))
-    item_type = benchmark.schema[item_key].dataType
+    names = [key, item_key, "n_matched", "n_windows", "n_slots", "n_same_values"]
+    ids = benchmark.select(F.col(f"`{item_key}`").alias("item"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("of"))
     schema = T.StructType([
-        T.StructField(key, docs.schema[key].dataType), T.StructField(item_key, item_type), T.StructField("n_matched", T.LongType()),
+        T.StructField("doc", docs.schema[key].dataType), T.StructField("of", T.LongType()), T.StructField("n_matched", T.LongType()),
         T.StructField("n_windows", T.LongType()), T.StructField("n_slots", T.LongType()), T.StructField("n_same_values", T.LongType()),
     ])
     out = None
@@ -355,11 +358,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
                     at.extend([i] * len(got))
                 columns = list(zip(*found, strict=True)) or [()] * 5
                 keys = batch.column("a").take(pa.array(at, pa.int64()))
-                yield pa.RecordBatch.from_arrays([keys, pa.array(columns[0], to_arrow_type(item_type)), *[pa.array(c, pa.int64()) for c in columns[1:]]], names=schema.names)
+                yield pa.RecordBatch.from_arrays([keys, *[pa.array(c, pa.int64()) for c in columns]], names=schema.names)
 
         part = narrow.mapInArrow(run, schema)
         out = part if out is None else out.unionByName(part)
-    return out
+    return out.join(ids, "of").select("doc", "item", "n_matched", "n_windows", "n_slots", "n_same_values").toDF(*names)
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:

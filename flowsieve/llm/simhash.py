@@ -287,12 +287,12 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
     Near copies share four fifths of their five-word shingles, A to Z in either
     case; a text of fewer words is one shingle. Every link is checked on the two
-    whole sets. A key names a document; rows with equal key and text count once.
+    whole sets. Rows with equal key and words count once; other texts of a key are documents of their own.
     Documents without a key are told apart by their text and come after all others.
     """
-    ident, loser = fresh(docs, "ident", "loser")
-    named = docs.withColumn(ident, _ident(F.col(f"`{key}`"), F.col(f"`{text}`")))
-    narrow = named.select(F.col(ident).alias("id"), _node(F.col(f"`{text}`")).alias("node"), F.col(f"`{text}`").alias("text"))
+    ident, words, loser, lost = fresh(docs, "ident", "words", "loser", "lost")
+    named = docs.withColumns({ident: _ident(F.col(f"`{key}`"), F.col(f"`{text}`")), words: _node(F.col(f"`{text}`"))})
+    narrow = named.select(F.col(ident).alias("id"), F.col(words).alias("node"), F.col(f"`{text}`").alias("text"))
     found = save(_per_text(narrow, "id node", bands, "keys", "id long, node long, keys array<long>"), "profiles")
     nodes = save(found.groupBy("node").agg(F.min("id").alias("low"), F.count("*").alias("n"), F.first("keys").alias("keys")), "near-texts")
     buckets = near_buckets(nodes)
@@ -303,14 +303,16 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     linked = near_components(buckets, sets).withColumnRenamed("node", "of")
     member = nodes.select("node", "low", "n").join(linked, F.col("node") == F.col("of"), "left")
     member = save(member.filter("n > 1 or of is not null").select("node", "low", F.coalesce("root", "node").alias("root")), "members")
-    lowest = save(member.groupBy("root").agg(F.min("low").alias("first")), "lowest")
-    owner = save(member.join(lowest, "root").select(F.col("node").alias("of"), "first"), "owners")
-    losers = found.select("id", "node").join(owner, F.col("node") == F.col("of")).filter("id != first").select(F.col("id").alias(loser)).distinct()
+    # A key may come with several texts, so the rows to drop are told by both.
+    lowest = save(member.groupBy("root").agg(F.min(F.struct("low", "node")).alias("first")), "lowest")
+    owner = save(member.join(lowest, "root").select(F.col("node").alias("of"), F.col("first.low").alias("first"), F.col("first.node").alias("best")), "owners")
+    losers = found.select("id", "node").join(owner, F.col("node") == F.col("of")).filter("id != first or node != best")
+    losers = losers.select(F.col("id").alias(loser), F.col("node").alias(lost)).distinct()
     losers = save(losers, "near-copies").hint("shuffle_merge")  # it grows with the documents, so one plan at every size
-    kept = named.join(losers, named[ident] == losers[loser], "left_anti")
+    kept = named.join(losers, (named[ident] == losers[loser]) & (named[words] == losers[lost]), "left_anti")
     twice = save(found.groupBy("id").count().filter("count > 1").select(F.col("id").alias(loser)), "repeated-keys")
     if not twice.isEmpty():
-        once = kept.join(twice, kept[ident] == twice[loser], "left_semi").dropDuplicates([ident, text])
+        once = kept.join(twice, kept[ident] == twice[loser], "left_semi").dropDuplicates([ident, words])
         kept = kept.join(twice, kept[ident] == twice[loser], "left_anti").unionByName(once)
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 

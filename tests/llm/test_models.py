@@ -150,6 +150,14 @@ def test_leaks_in_awkward_tables(spark, monkeypatch):
     assert dc.find_leaks(docs, bench.limit(0)).collect() == [] and dc.find_leaks(docs.limit(0), bench).collect() == []
 
 
+def test_repeated_benchmark_texts_are_read_once(spark):
+    bench = spark.createDataFrame([(i, ITEM) for i in range(300)] + [(None, ITEM)], "item_id long, text string")
+    (items,) = dc.benchmark_blocks(bench, block_bytes=4096)
+    assert len(items.ids) == 1
+    found = dc.find_leaks(cases.frame(spark, [(1, SAME, None, None, None)]), bench).collect()
+    assert {r.item_id for r in found} == {*range(300), None} and len(found) == 301
+
+
 def test_leaks_are_the_planted_passages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()

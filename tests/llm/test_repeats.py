@@ -188,6 +188,13 @@ def test_one_of_each_group_stays(spark):
     assert simhash.keep_one(docs.limit(0)).collect() == [] and simhash.components_of(docs.limit(0)).collect() == []
 
 
+def test_other_texts_of_a_repeated_key_stay(spark):
+    other = " ".join(f"other{i}" for i in range(90))
+    data = [(1, cases.SENTENCE, "en", "s", 0), (5, cases.SENTENCE + " end", "en", "s", 0), (5, other, "en", "s", 0), (6, other, "en", "s", 0), (6, other.upper() + " end", "en", "s", 0)]
+    kept = sorted((r.doc_id, r.text) for r in simhash.keep_one(cases.frame(spark, data)).collect())
+    assert kept == [(1, cases.SENTENCE), (5, other)]
+
+
 def line_result(data, min_chars=40, min_docs=5):
     key = lambda line: line.strip(cases.BLANKS).translate(cases.LOWER)
     holders = {}
