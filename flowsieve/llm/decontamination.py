@@ -68,36 +68,39 @@ class Template(NamedTuple):
     text: str = ""
 
 
+class _Codes(dict):
+    """Code of each token, made when first asked for; bounded."""
+
+    def __missing__(self, token: str) -> int:
+        low = token.lower()
+        first = token[0]
+        if first in ".!?\n":
+            kind = STOP
+        elif first in SIGNS:
+            kind = SIGN
+        elif first.isdigit() or low in NUMBERS:
+            kind = NUMBER
+        elif low in UNITS:
+            kind = UNIT
+        else:
+            kind = NAME if first.isupper() and not (len(token) > 1 and token.isupper()) else LITERAL
+        got = int.from_bytes(hashlib.blake2b(low.encode(), digest_size=8).digest(), "little") >> 3 << 3 | kind
+        if len(self) >= CACHE:
+            self.clear()
+        self[token] = got
+        return got
+
+
 class Reader:
     """Turns texts into templates; a bounded cache holds the code of each token."""
 
     def __init__(self):
-        self.cache: dict[str, int] = {}
-
-    def code(self, token: str) -> int:
-        got = self.cache.get(token)
-        if got is None:
-            low = token.lower()
-            first = token[0]
-            if first in ".!?\n":
-                kind = STOP
-            elif first in SIGNS:
-                kind = SIGN
-            elif first.isdigit() or low in NUMBERS:
-                kind = NUMBER
-            elif low in UNITS:
-                kind = UNIT
-            else:
-                kind = NAME if first.isupper() and not (len(token) > 1 and token.isupper()) else LITERAL
-            got = int.from_bytes(hashlib.blake2b(low.encode(), digest_size=8).digest(), "little") >> 3 << 3 | kind
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            self.cache[token] = got
-        return got
+        self.cache = _Codes()
+        self.code = self.cache.__getitem__
 
     def read(self, text: str) -> Template:
-        known, code = self.cache.get, self.code
-        codes = np.fromiter((known(t) or code(t) for t in _TOKEN.findall(text)), np.uint64)
+        tokens = _TOKEN.findall(text)
+        codes = np.fromiter(map(self.code, tokens), np.uint64, len(tokens))
         kinds, values = (codes & np.uint64(7)).astype(np.int8), codes >> np.uint64(3)
         before = np.concatenate([[STOP], kinds[:-1]])[: len(kinds)]
         kinds = np.where((kinds == NAME) & (before == STOP), LITERAL, kinds)  # a capital that only opens a sentence
@@ -115,8 +118,7 @@ class Reader:
 
     def exact(self, text: str) -> Template:
         """The text as it stands, all words literal."""
-        known, code = self.cache.get, self.code
-        values = np.fromiter((known(t) or code(t) for t in _EXACT.findall(text)), np.uint64) >> np.uint64(3)
+        values = np.fromiter(map(self.code, _EXACT.findall(text)), np.uint64) >> np.uint64(3)
         return Template(values, np.full(len(values), LITERAL, np.int8), values)
 
 
