@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from flowsieve.llm import (
-    byte_bpe, decontamination, line_dedup, maxent, quality_rules, recompression, sharding, simhash, token_counts, url_filter,
+    alignment, byte_bpe, decontamination, line_dedup, maxent, prefix_pieces, quality_rules, recompression, sharding, simhash, spelling,
+    token_counts, url_filter,
 )
 from flowsieve.llm.common import table
 
@@ -26,7 +27,7 @@ URL_RULES = [
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 ]
-BYTE_RANKS, PIECES = "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model"
+BYTE_RANKS, PIECES, BYTE_LEVEL = "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model", "byte_bpe_50k.json"
 SHARDS = 16
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -167,4 +168,20 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@register("op11_prefix_pieces")
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
+@register("op12_tokenizer_alignment")
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path(BYTE_LEVEL), public_tokenizers.path(PIECES)
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"), *paths)
+
+
+@register("op13_spelling_variants")
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
