@@ -60,7 +60,7 @@ def _replay_sink(spark, sf):
 
 
 @query("upsert_two_runs", sql("""
-SELECT event_id, record_index, CASE WHEN record_index % 3 = 0 THEN 0.5 ELSE 0.8 END AS binary_threshold
+SELECT event_id, record_index, CAST(CASE WHEN record_index % 3 = 0 THEN 0.5 ELSE 0.8 END AS DOUBLE) AS binary_threshold
 FROM events0 WHERE record_index % 2 = 0 OR record_index % 3 = 0""".replace("event_id", "sha256('run-1|' || record_index) AS event_id", 1), "probs", **_triage_sql(0.8)))
 def _upsert_two_runs(spark, sf):
     """Two replays with new checkpoints into one table: both stay, and the later one wins where ids meet."""
