@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from flowsieve.functions.scalars import missing, round_to
 from flowsieve.operators.exploration import correlations, variances
+from flowsieve.operators.neighbours import neighbour_information
 from flowsieve.operators.quantiles import exact_quantiles
 
 # Fixed values
@@ -81,14 +82,17 @@ def _kept(rows: DataFrame, columns: Sequence[str]) -> list[str]:
 
 def select_features(
     train: DataFrame, columns: Sequence[str], label: str = "label", k: int | None = TOP_K,
-    floor: float = VARIANCE_FLOOR, ceiling: float = CORRELATION_CEILING, bins: int = BINS,
+    floor: float = VARIANCE_FLOOR, ceiling: float = CORRELATION_CEILING, bins: int = BINS, method: str = "bins",
 ) -> Selection:
-    """Variance filter, then correlation filter, then top-k by mutual information."""
+    """Variance filter, then correlation filter, then top-k by mutual information, of ``bins`` or of nearest ``neighbours``."""
+    if method not in ("bins", "neighbours"):
+        raise ValueError(f"method must be 'bins' or 'neighbours', got {method!r}")
     varied = _kept(select_variance(train, columns, floor), columns)
     apart = _kept(select_correlation(train, varied, ceiling), varied) if len(varied) > 1 else varied
     if k is None or not apart:
         return Selection(varied, apart, apart)
-    ranked = mutual_information(train, apart, label, bins).orderBy(
+    scores = mutual_information(train, apart, label, bins) if method == "bins" else neighbour_information(train, apart, label)
+    ranked = scores.orderBy(
         F.desc(round_to("mutual_information", 9)), "feature").limit(min(k, len(apart)))
     best = {r["feature"] for r in ranked.collect()}
     return Selection(varied, apart, [c for c in apart if c in best])
