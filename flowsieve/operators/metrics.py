@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowsieve.functions.scalars import argmax, class_name, literal_array, ratio, round_share, round_to
-from flowsieve.functions.scale import running_totals
-from flowsieve.schemas import DEFAULT_THRESHOLD, OPERATIONAL_THRESHOLD, THRESHOLDS
+from flowsieve.schemas import DEFAULT_THRESHOLD, OPERATIONAL_THRESHOLD, SEED, THRESHOLDS
+
+_RANGES = 64  # of scores that are ordered apart; the last one also has the missing ones
 
 RATE_NAMES = [
     "precision", "recall", "f1_score", "specificity", "false_positive_rate",
@@ -134,23 +135,53 @@ def threshold_impact(
 # ---- ranking curves ---------------------------------------------------------
 
 
-def ranked_scores(scores: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ()) -> DataFrame:
+def score_cuts(scores: DataFrame, p: str = "p", share: float = 0.02) -> list[float]:
+    """Scores that divide the rows into even ranges, from a sketch over a sample. They only balance the work."""
+    marks = [i / _RANGES for i in range(1, _RANGES)]
+    found = scores.sample(share, SEED).agg(F.percentile_approx(_known(p), marks, 1000)).first()[0]
+    return sorted(set(found or []))
+
+
+def _known(p: str) -> Column:
+    return F.nanvl(F.col(p).cast("double"), F.lit(None).cast("double"))
+
+
+def ranked_scores(
+    scores: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = (), cuts: Sequence[float] | None = None,
+) -> DataFrame:
     """One row per distinct score with running positive and negative counts.
 
     Counting per distinct score first makes ties exact and shrinks the data
     before anything is ordered. A NaN score is never an attack, so it ranks
-    below all others, as a missing one does.
+    below all others, as a missing one does. ``cuts`` divide the scores into
+    ranges (see :func:`score_cuts`): running sums are made inside a range and
+    raised by the totals of the ranges above it, which read the same shuffled counts.
     """
-    known = F.nanvl(F.col(p).cast("double"), F.lit(None).cast("double"))
-    per_score = scores.groupBy(*by, known.alias("score")).agg(
-        F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")
-    )
-    return running_totals(per_score, by, [F.desc("score")], ["pos", "neg"])
-
-
-def ranking_areas(scores: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ()) -> DataFrame:
+    cuts = score_cuts(scores, p) if cuts is None else cuts
+    above = sum(((F.col("score") < c).cast("int") for c in cuts), F.lit(0))
+    base = scores.select(*by, _known(p).alias("score"), (F.col(y) == 1).alias("hit")).withColumn(
+        "_range", F.coalesce(above, F.lit(len(cuts))))
+    per_score = base.groupBy(*by, "_range", "score").agg(
+        F.count_if("hit").alias("pos"), F.count_if(~F.col("hit")).alias("neg"))
+    inside = Window.partitionBy(*by, "_range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    higher = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = per_score.groupBy(*by, "_range").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))  # a row a range
+    raised = totals.select(
+        *[F.col(b).alias(f"_by{i}") for i, b in enumerate(by)], F.col("_range").alias("_of"),
+        *[F.coalesce(F.sum(c).over(higher), F.lit(0)).alias(f"{c}_above") for c in ("_p", "_n")])
+    summed = per_score.withColumns({"cum_pos": F.sum("pos").over(inside), "cum_neg": F.sum("neg").over(inside)})
+    same = F.col("_range") == F.col("_of")
+    for i, b in enumerate(by):
+        same = same & F.col(b).eqNullSafe(F.col(f"_by{i}"))
+    return summed.join(raised, same).select(
+        *by, "score", "pos", "neg", (F.col("cum_pos") + F.col("_p_above")).alias("cum_pos"), (F.col("cum_neg") + F.col("_n_above")).alias("cum_neg"))
+
+
+def ranking_areas(
+    scores: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = (), cuts: Sequence[float] | None = None,
+) -> DataFrame:
     """Tie-correct ROC-AUC and step-sum average precision; null when undefined."""
-    ranked = ranked_scores(scores, y, p, by)
+    ranked = ranked_scores(scores, y, p, by, cuts)
     pos, neg, tp, fp = (F.col(c).cast("double") for c in ("pos", "neg", "cum_pos", "cum_neg"))
     sums = ranked.groupBy(*by).agg(
         F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"),
@@ -280,10 +311,12 @@ def ovr_auc(
     scores: DataFrame, classes: Sequence[str], y: str = "y", probs: str = "probs", by: Sequence[str] = ()
 ) -> DataFrame:
     """Macro one-vs-rest ROC-AUC; null unless every class has both outcomes."""
-    exploded = scores.select(*by, F.col(y).alias("_y"), F.posexplode(probs).alias("cls", "score")).select(
-        *by, "cls", "score", (F.col("_y") == F.col("cls")).cast("int").alias("hit")
-    )
-    areas = ranking_areas(exploded, "hit", "score", [*by, "cls"])
+    def exploded(rows: DataFrame) -> DataFrame:
+        return rows.select(*by, F.col(y).alias("_y"), F.posexplode(probs).alias("cls", "score")).select(
+            *by, "cls", "score", (F.col("_y") == F.col("cls")).cast("int").alias("hit"))
+
+    cuts = score_cuts(exploded(scores.sample(0.02, SEED)), "score", 1.0)  # the sample comes before the k rows a row
+    areas = ranking_areas(exploded(scores), "hit", "score", [*by, "cls"], cuts)
     return areas.groupBy(*by).agg(
         F.when(F.count("roc_auc") == len(classes), F.avg("roc_auc")).alias("roc_auc_ovr_macro")
     )

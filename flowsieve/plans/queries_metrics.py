@@ -8,6 +8,7 @@ from flowsieve.functions.scalars import round_to
 from flowsieve.functions.scale import materialize
 from flowsieve.operators import cleaning, features as fe, feature_selection as fs, metrics as me, thresholds as th, triage as tr
 from flowsieve.operators.explain import linear_contributions, mean_abs_attribution
+from flowsieve.operators.neighbours import neighbour_information
 from flowsieve.plans.catalog import query
 from flowsieve.plans.views import CATEGORICAL, CLASS_LIST_SQL, CLASSES, NUMERIC, alerts, flows, flows_dirty, probs, splits, sql
 from flowsieve.schemas import ACTIONS, SEVERITY, THRESHOLDS
@@ -457,6 +458,36 @@ def _mutual_information(spark, sf):
     return out.withColumn("mutual_information", round_to("mutual_information", 6))
 
 
+def _psi(m: str) -> str:
+    """Digamma of a count: twenty steps up, then its series."""
+    x = f"({m} + 20)::DOUBLE"
+    return f"(ln({x}) - 0.5 / {x} - 1 / (12 * {x} * {x}) + 1 / (120 * {x} * {x} * {x} * {x}) - list_sum(list_transform(range(20), lambda j: 1.0 / ({m} + j))))"
+
+
+_NEAR_SQL = {
+    "long": " UNION ALL ".join(f"SELECT '{c}' AS feature, label AS y, {c} + 0.0::DOUBLE AS v FROM train" for c in NUMERIC),
+    "sized": "SELECT * FROM long JOIN (SELECT feature, y, count(*) AS of_class FROM long GROUP BY ALL) USING (feature, y) WHERE of_class > 1",
+    "far": """SELECT *, least(3, of_class - 1) AS k, list_sort(list_filter([v - lag(v, 1) OVER w, v - lag(v, 2) OVER w, v - lag(v, 3) OVER w,
+              lead(v, 1) OVER w - v, lead(v, 2) OVER w - v, lead(v, 3) OVER w - v], lambda d: d IS NOT NULL))[least(3, of_class - 1)] AS r
+              FROM sized WINDOW w AS (PARTITION BY feature, y ORDER BY v)""",
+    "upto": "SELECT feature, v AS x, sum(count(*)) OVER (PARTITION BY feature ORDER BY v) AS n FROM sized GROUP BY feature, v",
+    "point": "SELECT feature, v, of_class, k, r, count(*) AS times FROM far GROUP BY ALL",
+    # Below the upper end, less those up to the lower one; an interval of no width holds its own value.
+    "counted": """SELECT p.*, coalesce(a.n, 0) - coalesce(b.n, 0) AS m FROM point p
+                  ASOF LEFT JOIN upto a ON p.feature = a.feature AND CASE WHEN r > 0 THEN v + r ELSE nextafter(v, 'inf'::DOUBLE) END > a.x
+                  ASOF LEFT JOIN upto b ON p.feature = b.feature AND CASE WHEN r > 0 THEN v - r ELSE nextafter(v, '-inf'::DOUBLE) END >= b.x""",
+}
+
+
+@query("neighbour_information", sql(f"""
+SELECT feature, round(greatest({_psi("sum(times)")} + sum(times * ({_psi("k")} - {_psi("of_class")} - {_psi("m")})) / sum(times), 0), 6) AS mutual_information
+FROM counted GROUP BY feature""", "train", **_NEAR_SQL))
+def _neighbour_information(spark, sf):
+    """All numeric columns of the training split by three neighbours."""
+    out = neighbour_information(splits(spark, sf)[0], NUMERIC, "label")
+    return out.withColumn("mutual_information", round_to("mutual_information", 6))
+
+
 _SELECTABLE = ["spkts", "sbytes", "rate", "dbytes", "smean", "sttl", "sload", "dttl"]
 _SURVIVORS = ["spkts", "sbytes", "dbytes", "smean", "sttl"]
 

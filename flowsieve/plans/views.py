@@ -73,6 +73,19 @@ def splits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return both.filter("split = 'train'"), both.filter("split = 'test'")
 
 
+def learnable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flows whose label and category follow three features, so that a model can be held to what it learns."""
+    attack = (F.col("spkts") + F.col("sttl") > 50) | (F.col("proto") == "A")
+    kind = (F.when(~attack, "Normal").when(F.col("proto") == "A", "Worms").when(F.col("sttl") > 40, "Generic")
+            .when(F.col("sttl") > 25, "Exploits").otherwise("DoS"))
+    return flows(spark, sf_dir).withColumns({"label": attack.cast("int"), "attack_cat": kind})
+
+
+def learnable_splits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    both = learnable(spark, sf_dir)
+    return both.filter("split = 'train'"), both.filter("split = 'test'")
+
+
 def probs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flows plus the class index ``y`` and ten class probabilities."""
     keys = [F.col("l_partkey").alias("_pk"), F.col("l_suppkey").alias("_sk")]
@@ -160,6 +173,12 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_
 SELECT {', '.join(FLOW_COLUMNS)}, list_position({CLASS_LIST_SQL}, attack_cat) - 1 AS y,
        list_transform(raw, lambda v: v / list_sum(raw)) AS probs
 FROM (SELECT *, [{_RAW_SQL}] AS raw FROM base)""",
+    "learnable": """
+SELECT * REPLACE (CASE WHEN spkts + sttl > 50 OR proto = 'A' THEN 1 ELSE 0 END AS label,
+                  CASE WHEN NOT (spkts + sttl > 50 OR proto = 'A') THEN 'Normal' WHEN proto = 'A' THEN 'Worms' WHEN sttl > 40 THEN 'Generic'
+                       WHEN sttl > 25 THEN 'Exploits' ELSE 'DoS' END AS attack_cat) FROM flows""",
+    "learnable_train": "SELECT * FROM learnable WHERE split = 'train'",
+    "learnable_test": "SELECT * FROM learnable WHERE split = 'test'",
     "train": "SELECT * FROM flows WHERE split = 'train'",
     "test": "SELECT * FROM flows WHERE split = 'test'",
     "flows_dirty": """
@@ -197,6 +216,7 @@ FROM alert_base""",
 }
 _NEEDS = {
     "base": [], "flows": ["base"], "probs": ["base"], "train": ["flows"], "test": ["flows"],
+    "learnable": ["flows"], "learnable_train": ["learnable"], "learnable_test": ["learnable"],
     "flows_dirty": ["flows"], "cleaned": ["flows_dirty"], "alert_base": [], "alerts": ["alert_base"],
 }
 

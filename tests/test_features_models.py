@@ -234,14 +234,14 @@ def test_permutation_importance_ranks_the_informative_feature(ready, train):
 @pytest.mark.parametrize("n", [1, 2, 500, 513])
 def test_permutation_is_one_to_one_over_the_whole_table(spark, n):
     df = spark.createDataFrame([(i % 3, float(i)) for i in range(n)], "id int, v double")
-    out = explain.permuted_rows(df, ["v"], ["id"], 3, 42).select("repeat", "_at", "_from", "v", F.col("values.v").alias("other")).collect()
+    out = explain.permuted_rows(df, ["v"], ["id"], 3, 42).select("repeat", "_to", "_from", "v", F.col("values.v").alias("other")).collect()
     moved = 0
     for r in range(3):
         rows = [x for x in out if x["repeat"] == r]
         assert sorted(x["_from"] for x in rows) == list(range(n)) and sorted(x["other"] for x in rows) == [float(i) for i in range(n)]
         moved += sum(x["other"] != x["v"] for x in rows)
     assert n < 3 or moved > 2.8 * n
-    orders = [tuple(x["_from"] for x in sorted((x for x in out if x["repeat"] == r), key=lambda x: x["_at"])) for r in range(3)]
+    orders = [tuple(x["_from"] for x in sorted((x for x in out if x["repeat"] == r), key=lambda x: x["_to"])) for r in range(3)]
     assert n < 3 or len(set(orders)) == 3
 
 

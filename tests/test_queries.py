@@ -5,6 +5,8 @@ from __future__ import annotations
 import importlib
 
 import oracle
+import functools
+
 import pytest
 
 entry_module = importlib.import_module("__spark_entry__")
@@ -16,6 +18,17 @@ def con(sf_dir):
     return oracle.connect(sf_dir)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def prepared_once():
+    """Training queries share their prepared features within one test run."""
+    from flowsieve.plans import queries_models
+
+    plain = queries_models._prepared
+    queries_models._prepared = functools.cache(plain)
+    yield
+    queries_models._prepared = plain
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_oracle(spark, sf_dir, con, name):
     assert oracle.differences(QUERIES[name](spark, sf_dir), con, ORACLES[name]) is None
