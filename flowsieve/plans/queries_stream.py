@@ -51,10 +51,10 @@ SELECT fmt, prediction, severity, count(*) AS n_events FROM events0, (SELECT unn
 GROUP BY fmt, prediction, severity""", "probs", **_triage_sql(0.8)))
 def _replay_sink(spark, sf):
     events, out = _replay(spark, sf), None
-    for fmt, read in (("jsonl", spark.read.json), ("csv", lambda p: spark.read.csv(p, header=True))):
+    for fmt in ("jsonl", "csv"):
         path = scratch_path(spark, fmt)
         st.drain(st.start(events, fmt, path, f"{path}-checkpoint"))
-        part = read(f"{path}/run=*/batch=*").select(F.lit(fmt).alias("fmt"), "prediction", "severity")
+        part = st.read_sink(spark, fmt, path).select(F.lit(fmt).alias("fmt"), "prediction", "severity")
         out = part if out is None else out.unionByName(part)
     return out.groupBy("fmt", "prediction", "severity").agg(F.count("*").alias("n_events"))
 
@@ -91,6 +91,29 @@ def _stream_timeline(spark, sf):
         round_to(F.col("avg_probability") * F.col("n_events"), 4).alias("probability_sum"))
 
 
+@query("stream_late_rows", sql("""
+SELECT strftime(hour, '%Y-%m-%d %H:%M:%S') AS window_start, prediction, count(*) FILTER (NOT late) AS n_events,
+       round(coalesce(sum(binary_probability) FILTER (NOT late), 0), 4) AS probability_sum, count(*) FILTER (late) AS n_late
+FROM sent GROUP BY 1, 2""", "alerts", sent="""
+SELECT date_trunc('hour', timestamp) AS hour, prediction, binary_probability, false AS late FROM alerts
+UNION ALL SELECT date_trunc('hour', timestamp), prediction, binary_probability,
+       date_trunc('hour', timestamp) + INTERVAL 1 HOUR <= (SELECT max(timestamp) FROM alerts) - INTERVAL 1 HOUR
+FROM alerts WHERE record_index % 50 = 0"""))
+def _stream_late_rows(spark, sf):
+    """Windows emitted as they close, and the rows that came after; every fiftieth event is sent again at the end."""
+    events, path = table(spark, sf, "events"), scratch_path(spark, "late")
+    last = F.lit(events.agg(F.max("ts")).first()[0]) + F.expr("INTERVAL 10 DAYS")
+    closing = events.limit(1).withColumn("ts", last.cast(events.schema["ts"].dataType))  # moves the watermark past all windows
+    stream = st.closed_windows(alerts_of(st.read_stream(spark, f"{path}-in/*", events.schema, None)))
+    for turn, rows in enumerate((events, events.filter("event_id % 50 = 0").unionByName(closing))):
+        rows.write.parquet(f"{path}-in/part={turn}")
+        st.drain(st.start_batches(stream, st.write_latest(path), f"{path}-checkpoint"))
+    out = st.read_batches(spark, path).groupBy("window_start", "prediction")
+    return out.agg(
+        F.sum("n_events").alias("n_events"), round_to(F.sum("value_sum"), 4).alias("probability_sum"), F.sum("n_late").alias("n_late"),
+    ).withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+
+
 @query("dedup_events", sql("SELECT event_id, prediction, confidence FROM alerts", "alerts"))
 def _dedup_events(spark, sf):
     events, path = table(spark, sf, "events"), scratch_path(spark, "dedup")

@@ -233,3 +233,61 @@ def test_failed_stream_is_reported(spark, tmp_path):
     checked = va.apply_policy(va.validate_rows(st.read_stream(spark, str(tmp_path / "in"), df.schema), ["dur"]), "fail")
     with pytest.raises(Exception, match="not_numeric"):
         st.drain(st.start_batches(checked, lambda b, e: b.collect(), str(tmp_path / "c")))
+
+
+# -- published batches and closed windows ------------------------------------------
+
+
+def test_half_a_batch_is_not_visible_and_is_replaced(spark, tmp_path):
+    from flowsieve.sources import published as pub
+
+    path = str(tmp_path / "sink")
+    rows = spark.range(10).withColumn("v", F.lit("first"))
+    save = lambda df, where: df.write.mode("overwrite").parquet(where)
+
+    def broken(df, where):
+        df.limit(3).write.mode("overwrite").parquet(where)
+        raise RuntimeError("killed half way")
+
+    pub.write_batch(rows, path, 0, 0, save)
+    with pytest.raises(RuntimeError, match="half way"):
+        pub.write_batch(rows, path, 0, 1, broken)
+    assert pub.published(spark, path) == [(0, 0)] and spark.read.parquet(*pub.published_paths(spark, path)).count() == 10
+    pub.write_batch(rows.limit(7), path, 0, 1, save)  # the restart writes it anew
+    assert pub.published(spark, path) == [(0, 0), (0, 1)] and spark.read.parquet(*pub.published_paths(spark, path)).count() == 17
+    with pytest.raises(RuntimeError, match="half way"):  # a batch that is written again is withdrawn meanwhile
+        pub.write_batch(rows, path, 0, 0, broken)
+    assert pub.published(spark, path) == [(0, 1)]
+    pub.write_batch(rows, path, 2, 5, save)
+    assert pub.published(spark, path) == [(0, 1), (2, 5)]
+    assert pub.published(spark, str(tmp_path / "none")) == []
+
+
+def test_sink_readers_see_published_batches_only(spark, tmp_path):
+    path = str(tmp_path / "events")
+    assert st.read_sink(spark, "jsonl", path).count() == 0
+    (tmp_path / "events" / "run=0" / "batch=0").mkdir(parents=True)
+    (tmp_path / "events" / "run=0" / "batch=0" / "part-0.json").write_text('{"event_id": "x"}')
+    assert st.read_sink(spark, "jsonl", path).count() == 0
+
+
+def test_windows_close_once_and_late_rows_are_counted(spark, tmp_path):
+    def send(turn, rows):
+        df = spark.createDataFrame([(t, k, v) for t, k, v in rows], "t string, prediction string, binary_probability double")
+        df.withColumn("timestamp", F.to_timestamp("t")).drop("t").write.parquet(str(tmp_path / "in" / f"part={turn}"))
+        st.drain(st.start_batches(st.closed_windows(events), st.write_latest(str(tmp_path / "out")), str(tmp_path / "checkpoint")))
+
+    schema = "prediction string, binary_probability double, timestamp timestamp"
+    (tmp_path / "in").mkdir()
+    events = st.read_stream(spark, str(tmp_path / "in" / "*"), schema_of(schema), None)
+    send(0, [("2024-01-01 10:05:00", "Attack", 0.9), ("2024-01-01 10:50:00", "Attack", 0.8), ("2024-01-01 13:10:00", "Normal", 0.1)])
+    send(1, [("2024-01-01 10:59:00", "Attack", 0.7), ("2024-01-01 12:30:00", "Attack", 0.6), ("2024-01-01 20:00:00", "Normal", 0.2)])
+    out = st.read_batches(spark, str(tmp_path / "out")).orderBy("window_start", "n_late").collect()
+    got = [(r.window_start.hour, r.prediction, r.n_events, round(r.value_sum, 6), r.n_late) for r in out]
+    assert got == [(10, "Attack", 2, 1.7, 0), (10, "Attack", 0, 0.0, 1), (12, "Attack", 1, 0.6, 0), (13, "Normal", 1, 0.1, 0)]
+
+
+def schema_of(ddl):
+    from pyspark.sql import types as T
+
+    return T.StructType.fromDDL(ddl)
