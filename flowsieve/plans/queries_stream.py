@@ -9,8 +9,9 @@ from flowsieve.operators import validation as va
 from flowsieve.plans.catalog import query
 from flowsieve.plans.queries_data import _SUMMARY, _TEXT, _text_rows
 from flowsieve.plans.queries_metrics import _triage_sql
-from flowsieve.plans.views import FEATURES, alerts_of, probs, sql, table
+from flowsieve.plans.views import FEATURES, alerts, alerts_of, probs, sql, table
 from flowsieve.session import scratch_path
+from flowsieve.sources.keyed import merge_rows, read_rows
 from flowsieve.sources.readers import with_record_index
 from flowsieve.sources.writers import read_events
 from flowsieve.streaming import replay as st
@@ -72,6 +73,19 @@ def _upsert_two_runs(spark, sf):
     return read_events(spark, path).select("event_id", "record_index", "binary_threshold")
 
 
+@query("keyed_merge", sql("""
+SELECT event_id, record_index, prediction, CASE WHEN record_index % 97 = 0 THEN 'second' WHEN record_index % 10 = 3 THEN 'first' ELSE severity END AS severity
+FROM alerts""", "alerts"))
+def _keyed_merge(spark, sf):
+    """Alerts in a keyed table of buckets, then two changes to some of them, the later one winning where they meet."""
+    rows = alerts(spark, sf).select("event_id", "record_index", "prediction", "severity")
+    path = scratch_path(spark, "keyed")
+    for change in (rows, rows.filter("record_index % 10 = 3").withColumn("severity", F.lit("first")),
+                   rows.filter("record_index % 97 = 0").withColumn("severity", F.lit("second"))):
+        merge_rows(change, path, "event_id", buckets=16)
+    return read_rows(spark, path)
+
+
 @query("stream_summary", sql("SELECT total, normal, attacks, critical, round(avg_confidence, 6) AS avg_confidence, risk_level FROM s", "alerts", s=_SUMMARY))
 def _stream_summary(spark, sf):
     path = scratch_path(spark, "summary")

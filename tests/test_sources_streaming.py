@@ -291,3 +291,46 @@ def schema_of(ddl):
     from pyspark.sql import types as T
 
     return T.StructType.fromDDL(ddl)
+
+
+# -- keyed table in buckets ----------------------------------------------------------
+
+
+def test_a_change_reads_and_writes_the_buckets_of_its_keys_only(spark, tmp_path):
+    from flowsieve.sources import keyed
+
+    path = str(tmp_path / "keyed")
+    rows = spark.range(2000).select("id", F.lit(0).alias("v"))
+    assert keyed.merge_rows(rows, path, "id", buckets=32) == list(range(32))
+    first = keyed.manifest(spark, path)
+    few = rows.filter(keyed.bucket_of(F.col("id"), 32).isin(3, 17) & (F.col("id") % 3 == 0)).withColumn("v", F.lit(1))
+    new = spark.createDataFrame([(10_000, 5), (10_000, 7), (None, 9)], "id long, v int").filter(
+        F.col("id").isNull() | keyed.bucket_of(F.col("id"), 32).isNotNull())
+    wanted = {r.id: r.v for r in rows.collect()} | {r.id: 1 for r in few.collect()}
+    assert keyed.merge_rows(few, path, "id") == [3, 17]
+    second = keyed.manifest(spark, path)
+    assert {b for b in range(32) if second.live[b] != first.live[b]} == {3, 17}
+    files = lambda only: {f.split("/")[-2] for f in spark.read.parquet(*second.paths(path, only)).inputFiles()}
+    assert files([3, 17]) == {"bucket=3", "bucket=17"}
+    assert len(keyed.merge_rows(new, path, "id", order=F.col("v"))) == 1
+    wanted[10_000] = 7
+    assert {r.id: r.v for r in keyed.read_rows(spark, path).collect()} == wanted
+    one = keyed.read_rows(spark, path, keys=[42])
+    assert [(r.id, r.v) for r in one.collect()] == [(42, wanted[42])] and len({f.split("/")[-2] for f in one.inputFiles()}) == 1
+    assert keyed.merge_rows(rows.limit(0), path, "id") == []
+    with pytest.raises(ValueError):
+        keyed.merge_rows(rows, path, "v")
+
+
+def test_a_failed_merge_changes_nothing(spark, tmp_path, monkeypatch):
+    from flowsieve.sources import keyed
+
+    path = str(tmp_path / "keyed")
+    keyed.merge_rows(spark.range(50).select("id", F.lit("a").alias("v")), path, "id", buckets=4)
+    monkeypatch.setattr(keyed, "_publish", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError):
+        keyed.merge_rows(spark.range(50).select("id", F.lit("b").alias("v")), path, "id")
+    assert {r.v for r in keyed.read_rows(spark, path).collect()} == {"a"}
+    monkeypatch.undo()
+    keyed.merge_rows(spark.range(50).select("id", F.lit("b").alias("v")), path, "id")
+    assert {r.v for r in keyed.read_rows(spark, path).collect()} == {"b"}
