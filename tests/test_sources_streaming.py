@@ -334,3 +334,31 @@ def test_a_failed_merge_changes_nothing(spark, tmp_path, monkeypatch):
     monkeypatch.undo()
     keyed.merge_rows(spark.range(50).select("id", F.lit("b").alias("v")), path, "id")
     assert {r.v for r in keyed.read_rows(spark, path).collect()} == {"b"}
+
+
+# -- paced replay ----------------------------------------------------------------------
+
+
+def test_paced_replay_keeps_its_pace_and_restarts_at_its_offset(spark, tmp_path):
+    rows = spark.range(100).select(F.concat(F.lit("k"), F.col("id")).alias("name"), F.col("id").alias("n"))
+    assert st.stage_numbered(rows, str(tmp_path / "records"), ["n"]) == 100
+    seen = []
+
+    def to_events(part):
+        seen.append(sorted(r.record_index for r in part.select("record_index").collect()))
+        out = part.select(F.col("name").alias("event_id"), "record_index")
+        for field in OUTPUT_FIELDS:
+            if field not in out.columns:
+                out = out.withColumn(field, F.lit(None).cast("string"))
+        return out.withColumn("timestamp", F.current_timestamp())
+
+    def play(total):
+        query = st.start_paced(spark, str(tmp_path / "records"), to_events, str(tmp_path / "out"), str(tmp_path / "checkpoint"), 30, "1 second")
+        return st.drain_paced(query, total)
+
+    first = play(60)
+    assert all(s["records"] == 30 for s in first) and seen[0] == list(range(30)) and seen[1] == list(range(30, 60))
+    play(60)  # the counter runs past the last record
+    numbers = [n for part in seen for n in part]
+    assert set(numbers) == set(range(100))
+    assert writers.read_events(spark, str(tmp_path / "out")).count() == 100
