@@ -40,7 +40,7 @@ def _rest(url: Column) -> Column:
 
 
 def clean_rules(rules: DataFrame) -> DataFrame:
-    """Usable rules as (key, action, host_chars, path_chars, digest), one row per key.
+    """Usable rules as (key, action, host_chars, path_chars, labels, digest), one row per key.
 
     A rule without a host, with a path that is not empty and does not start with
     ``/``, or with another action than ``allow`` or ``block`` can fit no URL and
@@ -49,12 +49,16 @@ def clean_rules(rules: DataFrame) -> DataFrame:
     host, path = ascii_lower(F.col("host")), F.coalesce(F.col("path"), F.lit(""))
     return (
         rules.filter((host != "") & ((path == "") | path.startswith("/")) & F.col("action").isin("allow", "block"))
-        .groupBy(F.concat(host, path).alias("key"), F.length(host).alias("host_chars"), F.length(path).alias("path_chars"))
+        .groupBy(F.concat(host, path).alias("key"), F.length(host).alias("host_chars"), F.length(path).alias("path_chars"), _labels(host).alias("labels"))
         .agg(F.max("action").alias("action"))  # "block" sorts after "allow"
         .withColumn("digest", F.xxhash64("key"))
     )
 
 
+def _labels(host: Column) -> Column:
+    return F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+
+
 def pack(rows: pa.Table) -> bytes:
     """Digest array, string offsets, precedence, actions and strings in one byte block."""
     rows = rows.sort_by("digest").combine_chunks()
@@ -114,6 +118,7 @@ def filter_urls(df: DataFrame, rules: DataFrame, url: str = "url", index_bytes:
     rules = save(clean_rules(rules), "url-rules")
     size = rules.agg(
         F.sum(F.octet_length("key") + 40).alias("size"), F.array_sort(F.collect_set("path_chars")).alias("lengths"),
+        F.array_sort(F.collect_set("labels")).alias("labels"),
     ).first()
     keep = [c for c in df.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     parts = df.select(*[F.col(f"`{c}`") for c in keep], url_host(F.col(f"`{url}`")).alias("host"), url_path(F.col(f"`{url}`")).alias("path"))
@@ -121,7 +126,7 @@ def filter_urls(df: DataFrame, rules: DataFrame, url: str = "url", index_bytes:
         return parts.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit("allow")})
     cands, digests = fresh(parts, "candidates", "digests")
     if size["size"] > index_bytes:
-        return _joined(parts, rules, size["lengths"], cands)
+        return _joined(parts, rules, size["labels"], size["lengths"], cands)
     rows = rules.select("key", "action", "host_chars", F.length("key").alias("key_chars"), "digest").toArrow()
     block, token = df.sparkSession.sparkContext.broadcast(pack(rows)), uuid.uuid4().hex
     names = parts.columns
@@ -145,25 +150,27 @@ def filter_urls(df: DataFrame, rules: DataFrame, url: str = "url", index_bytes:
             verdict = pa.array(np.where((best >= 0) & (index[3][np.maximum(best, 0)] == 1), "block", "allow"))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], rule, verdict], names=[*names, "rule", "verdict"])
 
-    probed = parts.withColumn(cands, candidates(size["lengths"]))
+    probed = parts.withColumn(cands, candidates(size["labels"], size["lengths"]))
     return probed.withColumn(digests, F.transform(cands, lambda key: F.xxhash64(key))).mapInArrow(judge, schema)
 
 
-def candidates(lengths: list[int]) -> Column:
-    """Keys of all rules that could fit: every host suffix with every path prefix of a length some rule has."""
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def candidates(labels: list[int], lengths: list[int]) -> Column:
+    """Keys of all rules that could fit: host suffixes of as many labels as some rule has, with path prefixes of a length some rule has.
+
+    So their size is that of the URL times the number of different rule shapes, however many labels a host has.
+    """
+    suffixes = F.array_compact(F.array(*[F.when(_labels(F.col("host")) >= n, F.substring_index("host", ".", -n)) for n in labels]))
     prefixes = F.transform(
         F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n)
     )
     return F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p))))
 
 
-def _joined(parts: DataFrame, rules: DataFrame, lengths: list[int], cands: str) -> DataFrame:
+def _joined(parts: DataFrame, rules: DataFrame, labels: list[int], lengths: list[int], cands: str) -> DataFrame:
     """The same verdicts by a join of the distinct (host, path) pairs, for lists too long to broadcast."""
     pairs = parts.select("host", "path").distinct()
     found = (
-        pairs.select("host", "path", F.explode(candidates(lengths)).alias("key")).withColumn("digest", F.xxhash64("key"))
+        pairs.select("host", "path", F.explode(candidates(labels, lengths)).alias("key")).withColumn("digest", F.xxhash64("key"))
         .join(rules, ["digest", "key"])
         .groupBy("host", "path")
         .agg(F.max(F.struct(F.length("key"), "host_chars", "key", "action")).alias(cands))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
+import time
 import zlib
 from collections import Counter
 
@@ -135,6 +137,13 @@ def test_shards(spark, sf_dir):
         assert sorted(r.slot for r in out if r.shard == shard) == list(range(sum(r.shard == shard for r in out)))
     moved = sum(r.grown_shard != r.shard for r in out) / len(out)
     assert 0 < moved < 0.15
+    # By hand: 52 bits of the MD5 of key and shard, the least score wins; slots follow the hash of the order columns.
+    bits = lambda *parts: int(hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()[:13], 16)
+    least = lambda key, n: min(range(n), key=lambda i: (-math.log((bits(key, i) + 0.5) / 2**52), i))
+    assert all((r.shard, r.grown_shard) == (least(r.doc_id, queries.SHARDS), least(r.doc_id, queries.SHARDS + 1)) for r in out)
+    for shard in range(queries.SHARDS):
+        own = sorted((r for r in out if r.shard == shard), key=lambda r: r.slot)
+        assert own == sorted(own, key=lambda r: (bits(r.doc_id, r.text_crc32, r.size), r.doc_id))
 
 
 def test_shards_with_repeats_nulls_and_weights(spark, monkeypatch):
@@ -158,3 +167,17 @@ def test_shards_with_repeats_nulls_and_weights(spark, monkeypatch):
 def test_weights_share_the_keys(spark):
     out = sharding.assign_shards(spark.range(20_000), "id", [1.0, 3.0]).groupBy("shard").count().collect()
     assert abs(dict(map(tuple, out))[1] / 20_000 - 0.75) < 0.02
+
+
+def test_long_hosts_are_linear_in_their_labels(spark):
+    """A host of half a million labels: only suffixes of as many labels as some rule has are made."""
+
+    rules = spark.createDataFrame([("org", "/", "allow"), ("a.b.org", "", "block"), ("a.org", "/x", "block")], "host string, path string, action string")
+    long = "a." * 500_000 + "org"
+    pages = spark.createDataFrame([(1, f"http://{long}/x/y"), (2, "http://q.a.b.org"), (3, f"http://{'.' * 100_000}/x")], "page_id long, url string")
+    for size in (256 << 20, 0):
+        url_filter.filter_urls(pages.limit(0), rules, index_bytes=size).collect()
+        started = time.perf_counter()
+        got = {r.page_id: (r.rule, r.verdict) for r in url_filter.filter_urls(pages, rules, index_bytes=size).collect()}
+        assert time.perf_counter() - started < 30
+        assert got == {1: ("a.org/x", "block"), 2: ("a.b.org", "block"), 3: (None, "allow")}
