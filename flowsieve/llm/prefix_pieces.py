@@ -26,7 +26,7 @@ from flowsieve.llm.common import fresh, slices
 
 MARK = "▁"
 #: Bounds of a worker: characters of the parts it remembers, longest part kept, pairs of tokens it remembers.
-CACHE_CHARS, CACHED_CHARS, PAIRS = 3_000_000, 48, 1_000_000
+CACHE_CHARS, CACHED_CHARS, PAIRS = 8_000_000, 48, 1_000_000
 #: Parts of a text handled at once.
 SLICE = 50_000
 #: Stands for a character without a piece, or for the start.
