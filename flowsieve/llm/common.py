@@ -28,7 +28,16 @@ def save(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.saved_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete tables made by :func:`save` that nothing reads any more, such as those of a round once the next is written."""
+    for df in frames:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.saved_at)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -9,6 +9,7 @@ most r bits agree under some mask, without exception.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowsieve.llm.common import BLANKS, ascii_lower, fresh, save, slices
+from flowsieve.llm.common import BLANKS, ascii_lower, discard, fresh, save, slices
 from flowsieve.llm.words import mix, scan
 
 BITS, RADIUS, SHINGLE, SEED = 64, 3, 3, 42
@@ -31,8 +32,9 @@ NO_ID = 1 << 62
 #: Near copies in the pipeline: words of a shingle, and bands of min-hashes. A pair at similarity 0.8 agrees in no band
 #: with chance (1 - 0.8 ** 5) ** 40 = 1.3e-7, whatever its texts; a pair above it with less.
 NEAR_SHINGLE, BANDS, BAND_ROWS = 5, 40, 5
-#: Pairs a row of the buckets up to which all pairs are compared at once; beyond it, rounds of stars come first.
-NEAR_PAIRS = 4
+#: Pairs a row of the buckets up to which all pairs are compared at once; beyond it, rounds with heads come first, and
+#: buckets of more texts than a size go by rare shingles.
+NEAR_PAIRS, ROUNDS, SMALL = 4, 3, 16
 _TURNS = np.random.default_rng(7).integers(1, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -144,19 +146,22 @@ def components(edges: DataFrame, most: int = 100) -> DataFrame:
     stays short. Minima are combined before the shuffle.
     """
     now = save(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct(), "links")
-    mark = None
     for _ in range(most):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        # Saved minima are broadcast while small, and joined with skew handling beyond that.
-        least = save(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        # Minima are joined by broadcast while small, and with skew handling beyond that.
+        first = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        large = both.filter("b > a").join(first, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = save(large.filter("a != b").distinct(), "large-star")
-        least = save(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.unionByName(least.select("a", F.col("m").alias("b"))).filter("a != b")
-        now = save(small.distinct(), "small-star")
-        last, mark = mark, now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if mark == last:
+        before, now = now, save(small.distinct(), "small-star")
+        discard(before, large)
+        # Done when all are stars: a node has one link upwards, and none if another has a link to it.
+        ends = now.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            now.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if ends.filter((F.col("up") > 1) | (F.col("up") + F.col("down") > 1)).isEmpty():
             break
     else:
         raise RuntimeError("components did not settle")
@@ -232,54 +237,109 @@ def near_buckets(nodes: DataFrame) -> DataFrame:
 
 
 def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of texts whose shingle sets are similar at 0.8 or more: 9 common >= 4 (of a + of b)."""
+    """The pairs (a, b) of texts whose shingle sets are similar at 0.8 or more: 9 common >= 4 (of a + of b).
+
+    The sets of the side a are cut to those in the pairs. Where these are few, as
+    the heads of a round, Spark sends them to the sets of b, and no set is shuffled once a pair.
+    """
+    heads = save(sets.join(pairs.select("a").distinct(), sets["node"] == F.col("a"), "left_semi"), "near-heads")
     both = pairs.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("of_b")), "b")
-    both = both.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("of_a")), "a")
+    both = both.join(heads.select(F.col("node").alias("a"), F.col("grams").alias("of_a")), "a")
     common = F.size(F.array_intersect("of_a", "of_b"))
     return both.filter(9 * common >= 4 * (F.size("of_a") + F.size("of_b"))).select("a", "b")
 
 
-def near_components(buckets: DataFrame, sets: DataFrame) -> DataFrame:
+def near_components(buckets: DataFrame, sets: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Per linked text its component: (node, root). Texts are linked if :func:`alike` says so.
 
-    Pairs of texts that are connected already need no comparison. While the
-    others are many, each text is compared with one of another component in its
-    bucket; at last, or once that links nothing more, all that are left are.
+    Pairs of texts that are connected already need no comparison. Where too many
+    others are left, some rounds compare the texts of each bucket with a few heads
+    of it, other ones each time. Pairs that are still open then come from small
+    buckets as they are, and from large ones by an index of rare shingles, as they
+    do once a round links nothing.
     """
-    links = found = None
-    while True:
+    found, links = None, []
+    for turn in range(rounds + 1):
         member = buckets.withColumn("root", F.col("node"))
         if found is not None:
             of = found.select("node", F.col("root").alias("of"))
-            member = buckets.join(of, "node", "left").select("key", "node", F.coalesce("of", "node").alias("root"))
-            member = save(member, "near-members")
+            member = save(buckets.join(of, "node", "left").select("key", "node", F.coalesce("of", "node").alias("root")), "near-members")
         sizes = member.groupBy("key", "root").agg(F.count("*").cast("double").alias("n"))
         sizes = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same")).filter("n * n > same")
         left, rows = sizes.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2), F.sum("n")).first()
         if not left:
             return found if found is not None else components(buckets.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
-        last = left <= NEAR_PAIRS * rows
-        if not last:
-            new = save(alike(_stars(member), sets), "near-links")
-            last = new.isEmpty()
-            if not last:
-                links = new if links is None else links.unionByName(new)
-                found = components(links)
-                continue
-        open_ = member.join(sizes.select("key"), "key")
-        other = open_.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-        pairs = open_.join(other, (open_["key"] == other["key"]) & (F.col("node") < F.col("b")) & (F.col("root") != F.col("root_b")))
-        new = alike(save(pairs.select(F.col("node").alias("a"), "b").distinct(), "near-pairs"), sets)
-        return components(new if links is None else links.unionByName(new))
-
-
-def _stars(member: DataFrame) -> DataFrame:
-    """Pairs (a, b): each text b of a bucket with a text a of the first component there, or of the last if b is in the first."""
-    row = F.struct("root", "node")
-    heads = member.groupBy("key").agg(F.min(row).alias("low"), F.max(row).alias("high")).filter("low.root != high.root")
-    both = member.join(save(heads, "near-heads"), "key")
-    pairs = both.select(F.when(F.col("root") == F.col("low.root"), F.col("high.node")).otherwise(F.col("low.node")).alias("a"), F.col("node").alias("b"))
-    return save(pairs.distinct(), "near-stars")
+        few = left <= NEAR_PAIRS * rows
+        if few or turn == rounds:
+            break
+        pairs = save(_heads(member, turn), "near-stars")
+        new = save(alike(pairs, sets), "near-links")
+        discard(pairs)
+        if new.isEmpty():
+            break
+        links.append(new)
+        found = components(_all(links))
+    # Where pairs are few the plan is one join of the buckets; else buckets above a size go by rare shingles.
+    open_ = member.join(sizes.select("key", "n"), "key")
+    small = open_ if few else open_.filter(F.col("n") <= SMALL)
+    other = small.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
+    pairs = small.join(other, (small["key"] == other["key"]) & (F.col("node") < F.col("b")) & (F.col("root") != F.col("root_b")))
+    pairs = pairs.select(F.col("node").alias("a"), "b")
+    if not few:
+        large = save(open_.filter(F.col("n") > SMALL).select("node", "root").distinct(), "near-large")
+        pairs = pairs.unionByName(rare_pairs(large.join(sets, "node")))
+    return components(_all([*links, alike(save(pairs.distinct(), "near-pairs"), sets)]))
+
+
+def _all(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _heads(member: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b): texts b of a bucket with its two heads a, the first ones by a hash that changes every turn.
+
+    Buckets that share texts mostly share their heads, so there are few of them and few pairs a text.
+    """
+    rank = F.xxhash64("node", F.lit(turn))
+    first = F.min(F.struct(rank.alias("rank"), "node", "root"))
+    one = member.groupBy("key").agg(first.alias("one"))
+    rest = member.join(one, "key")
+    # The second head is of another component, so the texts of the first head's own component meet one too.
+    two = rest.filter("root != one.root").groupBy("key").agg(first.alias("two"))
+    both = rest.join(two, "key")
+    heads = F.inline(F.array("one", "two"))
+    pairs = both.select(F.col("node").alias("b"), F.col("root").alias("of"), heads).filter("root != of")
+    return pairs.select(F.col("node").alias("a"), "b").distinct()
+
+
+def rare_pairs(texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of (node, root, grams) with different roots that may be similar at 0.8; none that is is missing.
+
+    Shingles are ordered by their number of texts. The first common one of two
+    similar texts is among the first fifth of the longer and the first ninth of
+    the shorter, since as many must follow as the pair needs; so texts that differ in
+    their rare shingles never meet in a shingle that all of them share. Within a
+    shingle only texts outside its most frequent component look for partners.
+    """
+    size = F.size("grams")
+    long = texts.select("node", "root", size.alias("size"), F.explode("grams").alias("gram"))
+    counts = save(long.groupBy("gram").agg(F.count("*").alias("df")), "near-gram-counts")
+    ordered = long.join(counts, "gram").groupBy("node", "root", "size").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("grams"))
+    probes = F.slice("grams", 1, (F.col("size") - F.ceil(F.col("size") * 4 / 5) + 1).cast("int"))
+    entries = ordered.select("node", "root", "size", F.posexplode(probes).alias("at", "g")).filter("g.df > 1")
+    indexed = F.col("at") <= F.col("size") - F.ceil(F.col("size") * 8 / 9)
+    entries = save(entries.select("node", "root", "size", "at", F.col("g.gram").alias("gram"), indexed.alias("indexed")), "near-entries")
+    roots = entries.groupBy("gram", "root").agg(F.count("*").alias("n")).groupBy("gram").agg(
+        F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1")
+    x = entries.join(save(roots.select("gram", "main"), "near-grams"), "gram").filter("root != main").alias("x")
+    y = entries.alias("y")
+    longer = (F.col("x.size") > F.col("y.size")) | ((F.col("x.size") == F.col("y.size")) & (F.col("x.node") > F.col("y.node")))
+    need = (F.col("x.size") + F.col("y.size")) * 4
+    rest = F.least(F.col("x.size") - F.col("x.at"), F.col("y.size") - F.col("y.at"))  # places count from 0, so it is one itself
+    once = (F.col("y.root") == F.col("x.main")) | (F.col("x.node") < F.col("y.node"))
+    meets = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.root") != F.col("y.root")) & once & (rest * 9 >= need)
+    return x.join(y, meets & F.when(longer, F.col("y.indexed")).otherwise(F.col("x.indexed"))).select(
+        F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

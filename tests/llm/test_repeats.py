@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from itertools import combinations
 
 import cases
 import numpy as np
@@ -152,9 +153,10 @@ def test_candidates_meet_at_every_length(size):
         assert (made(" ".join(base)) == made(edited(rng, base, word, 0.8, 0.87))).any()
 
 
-@pytest.mark.parametrize("most", [0, 4])
-def test_near_groups_are_connected_through_their_links(spark, monkeypatch, most):
+@pytest.mark.parametrize(("most", "small"), [(0, 0), (0, 16), (4, 16)])
+def test_near_groups_are_connected_through_their_links(spark, monkeypatch, most, small):
     monkeypatch.setattr(simhash, "NEAR_PAIRS", most)
+    monkeypatch.setattr(simhash, "SMALL", small)
     rng = random.Random(3)
     rare = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 9)))
     texts = []
@@ -175,6 +177,45 @@ def test_near_groups_are_connected_through_their_links(spark, monkeypatch, most)
     assert {r.doc_id for r in simhash.keep_one(cases.frame(spark, data)).collect()} == set(root)
 
 
+def sets_frame(spark, sets, roots=None):
+    rows = [(i, i if roots is None else roots[i], sorted(s)) for i, s in enumerate(sets)]
+    return spark.createDataFrame(rows, "node long, root long, grams array<long>")
+
+
+@pytest.mark.parametrize("one_component", [False, True])
+def test_rare_shingles_lose_no_similar_pair(spark, one_component):
+    rng = random.Random(9)
+    template = set(range(1000, 1060))
+    sets = []
+    for _ in range(40):
+        base = {rng.randrange(300) for _ in range(rng.randint(1, 60))} | (template if rng.random() < 0.5 else set())
+        sets.append(base)
+        for _ in range(3):
+            near = {g for g in base if rng.random() > 0.08} | {rng.randrange(5000, 9000) for _ in range(rng.randint(0, 6))}
+            sets.append(near or base)
+    roots = [0 if one_component and i % 4 else i for i in range(len(sets))]
+    got = {tuple(sorted(r)) for r in simhash.rare_pairs(sets_frame(spark, sets, roots)).collect()}
+    for i, j in combinations(range(len(sets)), 2):
+        if roots[i] != roots[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+            assert (i, j) in got
+    assert all(roots[i] != roots[j] for i, j in got)
+
+
+def test_texts_of_one_template_make_few_pairs(spark, monkeypatch):
+    """1,200 texts of 60 shared and 12 own words, below 0.8: their rare shingles differ, so they hardly meet."""
+    shared, compared = [f"shared{i}" for i in range(60)], []
+    data = [(n, " ".join([*shared, *(f"own{n}x{k}" for k in range(12))]), "en", "s", 0) for n in range(1200)]
+    alike = simhash.alike
+
+    def counted(pairs, sets):
+        compared.append(pairs.count())
+        return alike(pairs, sets)
+
+    monkeypatch.setattr(simhash, "alike", counted)
+    assert simhash.keep_one(cases.frame(spark, data)).count() == 1200
+    assert sum(compared) < 20_000 and compared[-1] == 0
+
+
 def test_one_of_each_group_stays(spark):
     data = cases.rows() + [(0, cases.TEXTS[0], "en", "s", 1), (None, cases.TEXTS[0], "en", "s", 1), (None, "no id here at all", "en", "s", 1), (None, "no id here at all", "en", "s", 1)]
     docs = cases.frame(spark, data).withColumnRenamed("source", "ident").withColumnRenamed("lang", "loser")
