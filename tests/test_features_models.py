@@ -251,3 +251,15 @@ def test_linear_attribution(spark):
     assert [(r["feature"], r["importance"]) for r in out] == [("a", 2.0), ("b", 0.0)]
     with pytest.raises(ValueError):
         explain.explain(df, ["a"], ["id"], "label", method="shapley")
+
+
+def test_permuted_positions_are_those_of_spark_hashes(spark):
+    values = [0, 1, -1, 7, 1 << 40, -(1 << 62)]
+    rows = spark.createDataFrame([(v,) for v in values], "v long").select(
+        "v", F.xxhash64("v").alias("one"), F.xxhash64("v", F.lit(5)).alias("two")).collect()
+    of = np.array([r["v"] for r in rows], np.int64).view(np.uint64)
+    one = explain.xxh64_long(of, np.uint64(42))
+    assert one.view(np.int64).tolist() == [r["one"] for r in rows]
+    assert explain.xxh64_int(5, one).view(np.int64).tolist() == [r["two"] for r in rows]
+    at = explain.permuted(np.arange(1001), 1001, np.full(1001, -5), 30)
+    assert sorted(at.tolist()) == list(range(1001))
