@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from flowsieve.operators import exploration as ex, explain, feature_selection as fs, features as fe, models as mo
@@ -263,3 +263,24 @@ def test_permuted_positions_are_those_of_spark_hashes(spark):
     assert explain.xxh64_int(5, one).view(np.int64).tolist() == [r["two"] for r in rows]
     at = explain.permuted(np.arange(1001), 1001, np.full(1001, -5), 30)
     assert sorted(at.tolist()) == list(range(1001))
+
+
+@pytest.mark.parametrize("multinomial", [False, True])
+def test_logistic_regression_ends_at_the_optimum_in_few_passes(spark, multinomial):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 3)) * [1.0, 5.0, 0.2]
+    y = np.where(x[:, 0] + 3 * x[:, 2] > 0.3, 1, 0) + (2 * (x[:, 1] > 6) if multinomial else 0)
+    y = np.where(rng.random(400) < 0.03, 0, y)
+    df = spark.createDataFrame([(*map(float, r), int(k)) for r, k in zip(x, y, strict=True)], "a double, b double, c double, label int")
+    df = df.withColumn("f_scaled", array_to_vector(F.array("a", "b", "c")))
+    trained = mo.train_logistic(df, multinomial=multinomial, params={"maxIter": 25})
+    got = trained.score_multi(df).select(F.array("a", "b", "c").alias("x"), "label", "probs").collect()
+    p, at, label = (np.array([r[c] for r in got]) for c in ("probs", "x", "label"))
+    size = np.bincount(label)
+    w = len(label) / (np.count_nonzero(size) * size[label])
+    wrong = ((p - np.eye(p.shape[1])[label]) * w[:, None]).T
+    matrix, intercepts = trained.model.coefficientMatrix.toArray(), trained.model.interceptVector.toArray()
+    # At the minimum of the summed loss and half of the squared coefficients all slopes are zero.
+    slope = wrong @ at + matrix if multinomial else wrong[1:] @ at + matrix
+    assert np.abs(slope).max() < 1e-2 and np.abs(wrong.sum(1)).max() < 1e-2 and len(intercepts) == len(matrix)
+    assert np.allclose(p.sum(1), 1)
