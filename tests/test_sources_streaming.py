@@ -362,3 +362,20 @@ def test_paced_replay_keeps_its_pace_and_restarts_at_its_offset(spark, tmp_path)
     numbers = [n for part in seen for n in part]
     assert set(numbers) == set(range(100))
     assert writers.read_events(spark, str(tmp_path / "out")).count() == 100
+
+
+def test_a_large_scenario_is_not_moved_into_so_few_tasks(spark, tmp_path):
+    path, df = str(tmp_path / "in"), spark.range(0, 4000, 1, 8)
+    st.stage(df, path, 3, rows_per_file=500)  # more than three full files: the eight parts stay as they are
+    assert len(spark.read.parquet(path).inputFiles()) == 8 and spark.read.parquet(path).distinct().count() == 4000
+    st.stage(df, path, 3)
+    assert len(spark.read.parquet(path).inputFiles()) == 3 and spark.read.parquet(path).distinct().count() == 4000
+    assert st.stage_batches(df, path, 2) == 1
+
+
+def test_text_sinks_can_be_compressed(spark, tmp_path):
+    for fmt in ("jsonl", "csv"):
+        out = str(tmp_path / fmt)
+        st.drain(st.start(_replayed(_stream(spark, tmp_path, _records(spark), name=f"in-{fmt}")), fmt, out, f"{out}-check", compression="gzip"))
+        assert all(p.name.endswith(".gz") for p in (tmp_path / fmt).rglob("part-*") if not p.name.endswith(".crc") and "publish" not in str(p))
+        assert st.read_sink(spark, fmt, out).select("event_id").distinct().count() == 40
