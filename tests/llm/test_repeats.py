@@ -371,3 +371,19 @@ def test_near_copies_of_the_corpus(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     data = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     check_near_copies(data, {r.doc_id for r in simhash.keep_one(docs).collect()})
+
+
+def test_fingerprints_lead_the_near_copies(spark):
+    base = [f"w{i}" for i in range(300)]
+    texts = [" ".join(base), " ".join([*base[:-1], "other"]), " ".join(base[::-1]), "", " ".join(f"v{i}" for i in range(40))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    prints = simhash.fingerprints(docs, "node")
+    marks = {r["node"]: r["fp"] & (2**64 - 1) for r in prints.collect()}
+    pairs = {tuple(sorted(r)) for r in simhash.print_pairs(prints).collect()}
+    near = {(a, b) for a in marks for b in marks if a < b and (marks[a] ^ marks[b]).bit_count() <= simhash.RADIUS}
+    assert (0, 1) in near and pairs == near
+    # Links by fingerprint stand by themselves, without a band in common.
+    none = spark.createDataFrame([], "key long, node long")
+    sets = spark.createDataFrame([], "node long, grams array<long>")
+    found = simhash.near_components(none, sets, first=simhash.print_pairs(prints))
+    assert {r["node"]: r["root"] for r in found.collect()} == {0: 0, 1: 0}
