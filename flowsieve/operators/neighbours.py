@@ -9,6 +9,7 @@ range-partitioned, and each range gets the neighbours that lie beyond its edges.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -84,24 +85,42 @@ def _radii(ranged: DataFrame, edges: list, k: int) -> DataFrame:
     kinds = ", ".join(f"{c} {ranged.schema[c].dataType.simpleString()}" for c in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
-        if whole is None or not whole.num_rows:
-            return
-        feature, y = whole["feature"].to_numpy(), np.array(whole["y"].to_pylist(), object)
-        v, n, size, part = (whole[c].to_numpy() for c in ("v", "n", "of_class", "part"))
-        new = np.flatnonzero((feature[1:] != feature[:-1]) | (y[1:] != y[:-1])) + 1
-        r, wanted = np.zeros(len(v)), np.minimum(k, size - 1)
-        for a, b in zip([0, *new.tolist()], [*new.tolist(), len(v)], strict=True):
-            around = shipped.value.get((int(feature[a]), y[a]), [])
-            before = [(x, c) for p, x, c in around if p < part[a]][-k:]
-            behind = [(x, c) for p, x, c in around if p > part[a]][:k]
-            values = np.array([*(x for x, _ in before), *v[a:b], *(x for x, _ in behind)])
-            counts = np.array([*(c for _, c in before), *n[a:b], *(c for _, c in behind)])
-            inside = slice(len(before), len(before) + b - a)
-            r[a:b] = kth_distance(values, counts, np.full(len(values), wanted[a]))[inside]
-        yield pa.RecordBatch.from_arrays(
-            [*(whole[c].combine_chunks() for c in names), pa.array(r), pa.array(wanted)], names=[*names, "r", "k"],
-        )
+        # A range is never held whole: rows whose k next ones are not here yet wait, and k before them are kept.
+        held, done = None, 0
+        for b in itertools.chain(batches, [None]):
+            if b is not None and not b.num_rows:
+                continue
+            rows = [held, *([pa.Table.from_batches([b])] if b is not None else [])]
+            rows = [t for t in rows if t is not None]
+            if not rows:
+                return
+            held = pa.concat_tables(rows).combine_chunks()
+            ready = held.num_rows - (k if b is not None else 0)
+            if ready <= done:
+                continue
+            feature, y = held["feature"].to_numpy(), np.array(held["y"].to_pylist(), object)
+            v, n, size, part = (held[c].to_numpy() for c in ("v", "n", "of_class", "part"))
+            new = np.flatnonzero((feature[1:] != feature[:-1]) | (y[1:] != y[:-1])) + 1
+            r, wanted = np.zeros(len(v)), np.minimum(k, size - 1)
+            for lo, hi in zip([0, *new.tolist()], [*new.tolist(), len(v)], strict=True):
+                if hi <= done or lo >= ready:
+                    continue
+                # Neighbours in other ranges: the last k before this one and the first k behind it. Those of rows
+                # that are still to come from this range are among the k held back.
+                around = shipped.value.get((int(feature[lo]), y[lo]), [])
+                before = [(x, c) for p, x, c in around if p < part[lo]][-k:]
+                behind = [(x, c) for p, x, c in around if p > part[lo]][:k]
+                first = lo == 0 and done > 0  # values before are held: k of them, or all there are
+                before = before if not first or done < k else []
+                values = np.array([*(x for x, _ in before), *v[lo:hi], *(x for x, _ in behind)])
+                counts = np.array([*(c for _, c in before), *n[lo:hi], *(c for _, c in behind)])
+                inside = slice(len(before), len(before) + hi - lo)
+                r[lo:hi] = kth_distance(values, counts, np.full(len(values), wanted[lo]))[inside]
+            out = held.slice(done, ready - done).combine_chunks()
+            here = slice(done, ready)
+            yield from pa.table([*(out[c] for c in names), pa.array(r[here]), pa.array(wanted[here])], names=[*names, "r", "k"]).to_batches()
+            kept = max(0, ready - k)
+            held, done = held.slice(kept), ready - kept
 
     return ranged.mapInArrow(run, f"{kinds}, r double, k long")
 

@@ -77,6 +77,34 @@ def test_neighbours_are_carried_over_several_ranges(spark):
     assert got == pytest.approx(by_hand(rows), abs=1e-9)
 
 
+@pytest.mark.parametrize("rows_a_batch", [1, 2, 5, 64])
+def test_a_range_is_read_in_small_pieces(spark, rows_a_batch, monkeypatch):
+    """However few rows arrive together, neighbours are found, and no more than k rows wait or are kept around a batch."""
+    rows = made(300, 9)
+    seen = []
+    plain = nb.kth_distance
+    monkeypatch.setattr(nb, "kth_distance", lambda v, c, k: seen.append(len(v)) or plain(v, c, k))
+    ranged = spark.createDataFrame([(0, "a", float(x), 1 + x % 2, 60, 0) for x in range(40)],
+                                   "feature int, y string, v double, n long, of_class long, part int").coalesce(1)
+    caught = {}
+    monkeypatch.setattr(type(ranged), "mapInArrow", lambda df, run, schema: caught.update(run=run) or df)
+    nb._radii(ranged, [], 3)
+    monkeypatch.undo()
+    monkeypatch.setattr(nb, "kth_distance", lambda v, c, k: seen.append(len(v)) or plain(v, c, k))
+    whole = ranged.toArrow()
+    got = [r for b in caught["run"](iter(whole.to_batches(max_chunksize=rows_a_batch))) for r in b.column("r").to_pylist()]
+    v, n = np.arange(40.0), 1 + np.arange(40) % 2
+    assert got == plain(v, n, np.full(40, 3)).tolist()
+    assert max(seen) <= rows_a_batch + 6
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_a_batch)
+    try:
+        df = spark.createDataFrame(rows, "tied double, fine double, flat double, y int")
+        found = nb.neighbour_information(df, ["fine"], "y").first().mutual_information
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found == pytest.approx(by_hand([(r[1], r[3]) for r in rows]), abs=1e-9)
+
+
 def test_text_classes_and_empty_columns(spark):
     df = spark.createDataFrame([(1.0, None, "a"), (1.0, None, "a"), (5.0, None, "b"), (6.0, None, "b")], "x double, none double, y string")
     got = {r.feature: r.mutual_information for r in nb.neighbour_information(df, ["x", "none"], "y").collect()}
