@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowsieve.functions.scalars import floating_columns, long_form, missing, percent
 from flowsieve.functions.scale import semi_join_skew_safe, tagged_counts
@@ -56,8 +57,25 @@ def duplicate_count(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("n_duplicates"))
 
 
+def _digest(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """Keys to group on in place of the columns: two 64-bit hashes that tell rows apart as the values themselves would.
+
+    Nulls leave a hash as it is, so each value goes with a mark; 0.0 and -0.0 are one value. Nested columns stay as they are.
+    """
+    plain = [f for f in df.schema.fields if f.name in keys and (isinstance(f.dataType, T.NumericType) or f.dataType in _HASHED)]
+    marked = [x for f in plain for x in (F.col(f.name).isNull(), F.col(f.name) + 0.0 if f.name in floating_columns(df) else F.col(f.name))]
+    nested = [F.col(k) for k in keys if k not in {f.name for f in plain}]
+    return [*(F.xxhash64(F.lit(i), *marked).alias(f"_h{i}") for i in (1, 2)), *nested]
+
+
+_HASHED = (T.StringType(), T.BooleanType(), T.DateType(), T.TimestampType(), T.TimestampNTZType(), T.BinaryType())
+
+
 def split_profile(df: DataFrame, id_column: str = "id", by: str | None = None) -> DataFrame:
-    """Rows, columns, missing, infinite and duplicate totals; one row per split with ``by``."""
+    """Rows, columns, missing, infinite and duplicate totals; one row per split with ``by``.
+
+    Equal rows are found by a digest of 128 bits, so what is shuffled does not grow with the width of a row.
+    """
     body = [c for c in df.columns if c != by]
     groups = [by] if by else []
 
@@ -68,7 +86,7 @@ def split_profile(df: DataFrame, id_column: str = "id", by: str | None = None) -
         return out
 
     def duplicates(name: str, keys: Sequence[str]) -> DataFrame:
-        per_row = df.groupBy(*groups, *keys).agg(F.count("*").alias("_n"))
+        per_row = df.groupBy(*groups, *_digest(df, keys)).agg(F.count("*").alias("_n"))
         return per_row.groupBy(*groups).agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias(name))
 
     wide = df.groupBy(*groups).agg(
