@@ -78,3 +78,14 @@ def test_scratch_lies_under_the_checkpoint_folder(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         assert configured in checkpoint_root(spark)
+
+
+def test_feature_width_makes_the_joins_behind_its_rows_once(spark, sf_dir, monkeypatch):
+    """A fit reads its rows several times; they come from one stored table, not from the joins each time."""
+    from flowsieve.plans import queries_metrics as qm
+
+    plans = []
+    plain = qm.fe.fit_features
+    monkeypatch.setattr(qm.fe, "fit_features", lambda t, *a: plans.append(t._jdf.queryExecution().optimizedPlan().toString()) or plain(t, *a))
+    assert qm._feature_width(spark, sf_dir).first().n_features > len(qm.NUMERIC)
+    assert "Join" not in plans[0]
