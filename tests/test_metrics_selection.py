@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from flowsieve.operators import metrics as me, thresholds as th
 from flowsieve.schemas import THRESHOLDS
@@ -178,3 +179,16 @@ def test_best_binary_model(spark):
     rows = {r["model"]: r for r in th.select_binary_model(df).collect()}
     assert rows["a"]["selected"] and not rows["b"]["selected"]
     assert rows["a"]["composite_score"] == pytest.approx(0.9 * 0.9 - 0.01)
+
+
+def test_ovr_auc_computes_the_scores_of_a_row_once(spark, monkeypatch):
+    """No filter ahead of the expansion repeats what makes the scores; rows without scores take no part."""
+    plans = []
+    plain = me.ranking_areas
+    monkeypatch.setattr(me, "ranking_areas", lambda s, *a: plans.append(s._jdf.queryExecution().optimizedPlan().toString()) or plain(s, *a))
+    rows = [(0, 0.9), (0, 0.4), (1, 0.3), (1, 0.6), (1, 0.1), (0, None)]
+    df = spark.createDataFrame(rows, "y int, p double").withColumn(
+        "probs", F.when(F.col("p").isNotNull(), F.transform(F.array("p", 1 - F.col("p")), lambda v: v * 1.0)))
+    got = me.ovr_auc(df, ["a", "b"]).first().roc_auc_ovr_macro
+    assert got == pytest.approx(5 / 6)
+    assert plans[0].count("lambdafunction") == 1
