@@ -284,3 +284,22 @@ def test_logistic_regression_ends_at_the_optimum_in_few_passes(spark, multinomia
     slope = wrong @ at + matrix if multinomial else wrong[1:] @ at + matrix
     assert np.abs(slope).max() < 1e-2 and np.abs(wrong.sum(1)).max() < 1e-2 and len(intercepts) == len(matrix)
     assert np.allclose(p.sum(1), 1)
+
+
+def test_permutation_importance_scores_every_variant_once(spark):
+    """Neither the cuts nor the totals of score ranges cost another scoring of all variants."""
+    importance = explain.permutation_importance
+
+    rows = [(i, float(i % 10), float(i % 7), int(i % 10 > 4)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, label int").repartition(3)
+    scored = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def score(a):
+        scored.add(1)
+        return a / 10
+
+    out = importance(df, ["a", "b"], ["id"], "label", lambda d: d.withColumn("p", score("a")), repeats=3)
+    found = {r.feature: r.importance for r in out.collect()}
+    assert found["a"] > 0.3 and abs(found["b"]) < 1e-9
+    assert scored.value <= 400 * (1 + 2 * 3) * 1.1
