@@ -192,3 +192,17 @@ def test_ovr_auc_computes_the_scores_of_a_row_once(spark, monkeypatch):
     got = me.ovr_auc(df, ["a", "b"]).first().roc_auc_ovr_macro
     assert got == pytest.approx(5 / 6)
     assert plans[0].count("lambdafunction") == 1
+
+
+def test_running_counts_compute_the_scores_once(spark):
+    """Running sums and totals of ranges read the same counts; given cuts, a row is scored once."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def score(i):
+        made.add(1)
+        return i % 100 / 100
+
+    df = spark.range(1000).select((F.col("id") % 2).cast("int").alias("y"), score("id").alias("p"))
+    assert me.ranking_areas(df, cuts=[0.25, 0.5]).first().positives == 500
+    assert made.value == 1000
