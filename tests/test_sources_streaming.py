@@ -88,6 +88,18 @@ def test_manifest(spark, tmp_path):
     assert readers.list_sources(spark, str(tmp_path), "*.bin").count() == 1
 
 
+def test_manifest_reads_files_in_pieces(spark, tmp_path):
+    """Files of any size and name are hashed, and no content goes into a cell."""
+    files = {"one.bin": b"1", "a b%20c+ä.bin": bytes(range(256)) * 9000, "deep/x=1/y.bin": b"\n\r\n" * 5}
+    for name, content in files.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(content)
+    found = readers.file_manifest(spark, str(tmp_path), hash_bytes=3)
+    assert "content:binary" not in found._jdf.queryExecution().executedPlan().toString()  # of what is read
+    got = {r["file_name"]: (r["size_bytes"], r["sha256"]) for r in found.collect()}
+    assert got == {n.split("/")[-1]: (len(c), hashlib.sha256(c).hexdigest()) for n, c in files.items()}
+
+
 def _records(spark, n=40):
     return spark.range(n).select(
         F.col("id").alias("record_index"), (F.col("id") / n).alias("x"), (F.col("id") / n).alias("p"),
