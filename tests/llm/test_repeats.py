@@ -9,6 +9,7 @@ import cases
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from flowsieve.llm import line_dedup, recompression, simhash
 from flowsieve.llm.words import CHUNK, scan
@@ -387,3 +388,15 @@ def test_fingerprints_lead_the_near_copies(spark):
     sets = spark.createDataFrame([], "node long, grams array<long>")
     found = simhash.near_components(none, sets, first=simhash.print_pairs(prints))
     assert {r["node"]: r["root"] for r in found.collect()} == {0: 0, 1: 0}
+
+
+def test_texts_with_connected_fingerprints_are_all_compared(spark, monkeypatch):
+    """Links that span a component lead from text to text that need not be alike; others of it are, and share no band here."""
+    base = [" ".join(f"g{g}w{i}" for i in range(60)) for g in range(8)]
+    data = [(n, f"{base[n // 3]} end{n}", "en", "s", 0) for n in range(24)]
+    monkeypatch.setattr(simhash, "fingerprints", lambda df, key: df.select(key, F.lit(0).cast("long").alias("fp")))
+    monkeypatch.setattr(simhash, "bands", lambda grams: grams.sum(keepdims=True))
+    for most, small in ((4, 24), (0, 16)):
+        monkeypatch.setattr(simhash, "NEAR_PAIRS", most)
+        monkeypatch.setattr(simhash, "SMALL", small)
+        assert {r.doc_id for r in simhash.keep_one(cases.frame(spark, data)).collect()} == {3 * g for g in range(8)}
