@@ -210,3 +210,26 @@ def test_words_beyond_the_head_are_told_apart_as_history():
     assert (third[:, n:] == -1).all() and (first[[0, 3], n:] == -1).all() and first[1, n + 1] == first[2, n] == -1
     own = rows[:, n:][rows[:, n:] >= 0]
     assert len(own) == 4 and (own >= maxent.ROWS).all() and (own < maxent.ROWS + maxent.OWN).all()
+
+
+def test_pairs_with_a_word_beyond_the_head_are_told_apart():
+    """Each word of such a pair counts as itself: another rare word of the same last byte, or another neighbour, is another pair."""
+    known = maxent.tokens([b"next last"])
+    table = maxent.head_table(pa.table({"h": known.hashes[:2].view(np.int64), "last": known.last[:2].astype(np.int32), "n": np.array([9, 8])}))
+    got = maxent.tokens([b"zebra next", b"extra next", b"zebra last", b"extra zebra x", b"zebra extra x", b"next last next"])
+    pairs = maxent.with_pairs(maxent.classify(got, table)[2])[:, -1]
+    at = got.offsets[:-1]
+    both = pairs[at[:5] + 2]
+    assert len(set(both)) == 5 and (both >= maxent.ROWS + maxent.OWN).all() and (both < maxent.ROWS + maxent.OWN + maxent.PAIRS).all()
+    assert pairs[at[0] + 1] == pairs[at[2] + 1] != pairs[at[1] + 1]  # with the start of the text
+    assert (pairs[at] == -1).all() and (pairs[at[5]:] == -1).all()
+
+
+def test_sums_of_groups():
+    rng = np.random.default_rng(3)
+    for sizes in ([1], [1, 1, 1], [2], [7, 1, 1, 300, 2, 3, 64, 5], rng.integers(1, 9, 500)):
+        values = rng.integers(-50, 50, (sum(sizes), 4)).astype(np.float32)
+        cuts = np.cumsum([0, *sizes])[:-1]
+        kept = values.copy()
+        np.testing.assert_array_equal(maxent.group_sums(values, cuts), np.add.reduceat(kept, cuts, axis=0))
+        np.testing.assert_array_equal(values, kept)
