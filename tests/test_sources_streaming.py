@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import hashlib
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowsieve.operators import validation as va
+from flowsieve.operators.alerts import newest_per_key
 from flowsieve.plans import pipelines as pl
 from flowsieve.schemas import FLOW_SCHEMA, FORBIDDEN_FIELDS, OUTPUT_FIELDS
 from flowsieve.sources import readers, writers
@@ -391,3 +393,26 @@ def test_text_sinks_can_be_compressed(spark, tmp_path):
         st.drain(st.start(_replayed(_stream(spark, tmp_path, _records(spark), name=f"in-{fmt}")), fmt, out, f"{out}-check", compression="gzip"))
         assert all(p.name.endswith(".gz") for p in (tmp_path / fmt).rglob("part-*") if not p.name.endswith(".crc") and "publish" not in str(p))
         assert st.read_sink(spark, fmt, out).select("event_id").distinct().count() == 40
+
+
+def test_streams_leave_no_copies_of_their_input(spark, sf_dir):
+    """Once staged, numbered records are deleted, and staged ones once they are replayed."""
+    from flowsieve.plans import queries_stream as qs
+    from flowsieve.session import checkpoint_root
+
+    scratch = Path(checkpoint_root(spark).removeprefix("file:")) / "scratch"
+    assert scratch.parent.exists()
+    inputs = lambda: {p.name for p in scratch.glob("*") if p.name.split("-")[0] in ("unnumbered", "ranged", "replay", "run0", "run1")}
+    before = inputs()
+    for run in (qs._replay_stream, qs._upsert_two_runs):
+        assert run(spark, sf_dir).count() > 0
+        assert inputs() <= before
+
+
+def test_newest_rows_are_shuffled_once(spark):
+    events = spark.createDataFrame(
+        [("a", 0, 1, None, "x"), ("a", 1, 1, None, "y"), ("a", 1, 0, 5.0, "z"), ("b", 0, None, 1.0, "w"), (None, 0, 0, 2.0, "v")],
+        "event_id string, batch_seq long, record_index long, value double, text string")
+    found = newest_per_key(events)
+    assert found._jdf.queryExecution().executedPlan().toString().count("partial_max_by") == 0  # which holds a row and its order
+    assert {tuple(r) for r in found.collect()} == {("a", 1, 1, None, "y"), ("b", 0, None, 1.0, "w"), (None, 0, 0, 2.0, "v")}
